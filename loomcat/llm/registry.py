@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality",)
+MODULES = ("chat", "quality")
 
 
 def _merged(what: str) -> dict:
