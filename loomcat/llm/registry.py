@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("chat", "quality")
+MODULES = ("chat", "quality", "toxicity")
 
 
 def _merged(what: str) -> dict:
