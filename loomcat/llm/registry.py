@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("chat", "quality", "toxicity", "warc")
+MODULES = ("chat", "jaccard", "quality", "toxicity", "warc")
 
 
 def _merged(what: str) -> dict:
