@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("bpe", "chat", "jaccard", "quality", "toxicity", "warc")
+MODULES = ("bpe", "chat", "jaccard", "quality", "repeats", "toxicity", "warc")
 
 
 def _merged(what: str) -> dict:
