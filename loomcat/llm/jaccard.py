@@ -3,8 +3,9 @@
 A document's set is its distinct k-word shingles (64-bit hashes). Equal sets become one set. Two sets
 link when ``den * |x & y| >= num * |x | y|``; documents of linked sets form components.
 
-1. ``sets``: prefix filter. Tokens are ordered by (hot, hash); hot tokens are those that many prefixes
-   hold, kept as a fixed-size bitmap. Any fixed order is right, this one keeps common lines out of the index.
+1. ``sets``: prefix filter. Tokens are ordered by (hot, hash); hot tokens are those of many
+   sets, counted over all documents in a fixed-size table. Any fixed order is right; this one keeps
+   common lines, and what large groups of copies share, out of the index.
 2. Similar sets: sets that share a min-hash compare with one leader (the most copied set). Overlaps are
    computed once, stored as answers, and give the first components.
 3. Index lists: the entries of one token are grouped into blocks by component, with the range of
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,8 @@ from .graph import bitmap, components, in_bitmap
 from .shared import written
 from .textops import U64, Ranges, Words, mix, pieces
 
-HOT = 32
+HOT = 64
+SKETCH_BITS = 23
 KEYS = 4
 PARITY_WORDS = 8
 
@@ -109,17 +112,41 @@ def set_rows(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray | None
     return narrow.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, prefix array<long>, keys array<long>, parity array<long>")
 
 
-def hot_tokens(docs: DataFrame, k: int, num: int, den: int, text_col: str) -> np.ndarray:
-    """Bitmap of the tokens that at least HOT prefixes hold, counted over all documents."""
+def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
+    """Bitmap of 2 ** SKETCH_BITS buckets of tokens that occur in many sets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    All sets of all documents are counted in a fixed-size table of buckets for each task, cut into
+    segments that are summed across tasks. A bucket is hot from HOT plus three times the mean count. A
+    cold token in a hot bucket is merely indexed later than need be.
+    """
+    segments, width = 256, (1 << SKETCH_BITS) // 256
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                flat = [_prefix(s, None, num, den) for s in shingles(piece.column(0), k)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(flat).view(np.int64))], ["token"])
-
-    tokens = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "token long")
-    return bitmap(tokens.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= HOT), F.col("token"))
+                np.add.at(counts, (np.concatenate(shingles(piece.column(0), k)) & U64(len(counts) - 1)).astype(np.int64), 1)
+        for j in range(segments):
+            part = counts[j * width : (j + 1) * width]
+            if part.any():
+                planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)  # high bytes are mostly zero
+                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int64()), pa.array([zstandard.ZstdCompressor(3).compress(planes.tobytes())], pa.binary())], ["segment", "counts"])
+
+    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, np.int64)
+        for batch in batches:
+            for x in batch.column(1):
+                planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), np.uint8).reshape(4, -1)
+                total += np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+        hot = np.packbits(total >= HOT + 3 * total.mean(), bitorder="little")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([hot.tobytes()], pa.binary())], ["segment", "hot"])
+
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "segment long, counts binary")
+    out = np.zeros((1 << SKETCH_BITS) // 64, U64)
+    for row in counted.groupBy("segment").applyInArrow(merge, "segment long, hot binary").toLocalIterator():  # 256 rows at most
+        words = np.frombuffer(bytes(row["hot"]), U64)
+        out[row["segment"] * len(words) : (row["segment"] + 1) * len(words)] = words
+    return out
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -160,7 +187,7 @@ def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: st
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError(f"{id_col} must be an integer, not {kind}")
     docs = docs.withColumn(id_col, F.col(id_col).cast("long"))
-    rows = written(set_rows(docs, k, num, den, hot_tokens(docs, k, num, den, text_col), id_col, text_col), "sets")
+    rows = written(set_rows(docs, k, num, den, hot_tokens(docs, k, text_col), id_col, text_col), "sets")
     # equal sets are one; one without any id gets a negative stand-in
     sets = (
         rows.where("n > 0").groupBy("k1", "k2")

@@ -8,12 +8,11 @@ arbitrary byte or word ranges come from one prefix sum of a polynomial modulo 2*
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,21 +25,19 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE_VALUE = np.random.default_rng(20240611).integers(1, 2**64 - 1, 256, dtype=U64)
 
 
-@lru_cache(maxsize=4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    inverse = pow(_BASE, -1, 1 << 64)
-    out = []
-    for b in (_BASE, inverse):
-        p = np.full(n, b, U64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=U64))
-    return out[0], out[1]
+_held: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n + 1 of each."""
-    return _powers(max(16, int(n + 1).bit_length()))
+    """Powers of the base and of its inverse modulo 2**64, at least n + 1 of each; one table is held."""
+    if not _held or len(_held[0]) <= n:
+        size = 1 << max(16, int(n + 1).bit_length())
+        _held.clear()
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+            p = np.full(size, b, U64)
+            p[0] = 1
+            _held.append(np.cumprod(p, dtype=U64))
+    return _held[0], _held[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
