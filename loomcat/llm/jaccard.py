@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ from .textops import U64, Ranges, Words, mix, pieces
 
 HOT = 64
 SKETCH_BITS = 23
+TOKEN_BITS = 25
 KEYS = 4
 PARITY_WORDS = 8
 
@@ -149,6 +151,24 @@ def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
     return out
 
 
+def shared_entries(sets: DataFrame, shared: np.ndarray) -> DataFrame:
+    """(id, n, pos, token) of the prefix tokens in the bitmap."""
+    bits = sets.sparkSession.sparkContext.broadcast(shared)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            of = pa.compute.list_parent_indices(lists).to_numpy()
+            flat = np.asarray(lists.flatten())
+            size = np.bincount(of, minlength=batch.num_rows)
+            pos = np.arange(len(flat)) - (np.cumsum(size) - size)[of]
+            keep = in_bitmap(bits.value, flat.view(U64))
+            take = pa.array(of[keep])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(pos[keep].astype(np.int32)), pa.array(flat[keep])], ["id", "n", "pos", "token"])
+
+    return sets.select("id", F.col("n").cast("int").alias("n"), "prefix").mapInArrow(run, "id long, n int, pos int, token long")
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(id, tokens) of the documents in ids: a bitmap of the ids lets through few others, whose sets
     are never joined; no text is shuffled."""
@@ -210,12 +230,10 @@ def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: st
     linked = F.lit(den) * F.col("both") >= F.lit(num) * (F.col("na") + F.col("nb") - F.col("both"))
     first = written(components(answers.where(linked).select("a", "b")), "first")
 
-    # index lists in blocks of one component
-    entries = (
-        sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-        .join(first.withColumnRenamed("node", "id"), "id", "left")
-        .select("token", F.coalesce("root", "id").alias("root"), "id", F.col("n").cast("int").alias("n"), "pos")
-    )
+    # index lists in blocks of one component; tokens of a single prefix are left out first
+    tokens = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
+    index = written(shared_entries(sets, bitmap(tokens.where("c > 1"), F.col("token"), TOKEN_BITS)), "index")
+    entries = index.join(first.withColumnRenamed("node", "id"), "id", "left").select("token", F.coalesce("root", "id").alias("root"), "id", "n", "pos")
     blocks = entries.groupBy("token", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("pos"), F.count("*").alias("m"), F.min("id").alias("id"))
     one, two = (blocks.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("root", "lo", "hi", "pos", "m", "id"))) for i in (1, 2))
     reach = (F.lit(den) * F.col("hi1") - F.lit(sides) * F.col("pos1") >= F.lit(num) * F.col("lo2")) & (F.lit(den) * F.col("hi2") - F.lit(sides) * F.col("pos2") >= F.lit(num) * F.col("lo1"))
