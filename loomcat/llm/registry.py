@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("bpe", "chat", "jaccard", "lines", "quality", "repeats", "toxicity", "warc")
+MODULES = ("bpe", "chat", "decontaminate", "jaccard", "lines", "packing", "quality", "repeats", "toxicity", "warc")
 
 
 def _merged(what: str) -> dict:

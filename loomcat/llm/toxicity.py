@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import U64, Words, mix, pieces
+from .textops import PUNCT, U64, Words, mix, pieces
 
 SAMPLE = 10_000
 FACTORS = 8
@@ -31,19 +31,12 @@ MOST_TERMS = 20_000
 SURE = 3.3
 PREFIX_BYTES = 4
 THRESHOLD = 0.7
-PUNCT = np.zeros(256, bool)
-PUNCT[[ord(c) for c in ".,;:!?\"'()[]{}-*#%&$|<>_~`"]] = True
 
 
 def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(text index, 64-bit term hash) of each distinct term of each text, in order of text."""
     w = Words(texts, lower=True)
-    start, end = w.start.copy(), w.end.copy()
-    for _ in range(3):
-        cut = (start < end) & PUNCT[w.data[np.minimum(start, len(w.data) - 1)]] if len(w.data) else np.zeros(0, bool)
-        start[cut] += 1
-        cut = (start < end) & PUNCT[w.data[end - 1]] if len(w.data) else cut
-        end[cut] -= 1
+    start, end = w.trimmed(PUNCT)
     keep = start < end
     of, start, end = w.text_of()[keep], start[keep], end[keep]
     rolling = w.bytes_hash()
@@ -79,14 +72,7 @@ class Model:
 
     def _known(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(text, row) of the distinct learned terms: looked up before they are made distinct."""
-        start, end = w.start.copy(), w.end.copy()
-        for _ in range(3):
-            if not len(start):
-                break
-            cut = (start < end) & PUNCT[w.data[np.minimum(start, len(w.data) - 1)]]
-            start[cut] += 1
-            cut = (start < end) & PUNCT[w.data[end - 1]]
-            end[cut] -= 1
+        start, end = w.trimmed(PUNCT)
         keep = start < end
         of, start, end = w.text_of()[keep], start[keep], end[keep]
         rolling = w.bytes_hash()
