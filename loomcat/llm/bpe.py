@@ -2,17 +2,17 @@
 
 1. ``split_blocks`` cuts texts into pre-tokens with the public pattern. Documents are handled in blocks of
    about ``BLOCK_BYTES``: a block has its distinct pre-tokens once, numbered by how often they occur, and each
-   document's pre-tokens as positions in that list (a token's position in the document is its place in the
-   sequence). Blocks are written to the shared folder once.
-2. The (word, block, number) rows are shuffled by word. Each distinct word of the corpus is encoded
-   once, and its ids are joined back on the word without another shuffle.
+   document's pre-tokens as a sequence of numbers (their place in it is their position). The distinct words are
+   dealt to buckets by their hash and packed. This is written to the shared folder once.
+2. The packs are shuffled by bucket, so that all rows of a word meet: each distinct word of the corpus is
+   encoded once and its ids are joined to every block that has it.
 3. The ids of a block's words meet the block's sequences again by block, and every document's ids are
    put together by position.
 
 Decoding joins ids with the token-byte table, ``decode_table``, one row for each of the vocabulary's
 ids (so its size is bounded by the vocabulary).
 
-A word has at most one row in each block, so frequent words make no hot key. Defined results: a null
+A word occurs at most once in each block, so frequent words make no hot key. Defined results: a null
 text is an empty one (no ids, no bytes); repeated rows each get a row; other columns are carried along
 only by ``encode_texts``. A single text longer than a block is a block of its own.
 """
@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import new_path
-from .textops import text_bytes
+from .textops import U64, bytes_hash, text_bytes
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 24 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -121,7 +121,8 @@ def decode(rows: DataFrame, path: str | None = None, ids_col: str = "ids") -> Da
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-BLOCK_DDL = "block long, docs binary, words array<string>"
+BLOCK_DDL = "block long, bucket int, packed binary"
+SEQUENCE = -1
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -137,8 +138,15 @@ def _unpack(data: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def split_blocks(docs: DataFrame, pattern: str) -> DataFrame:
-    """A row for each block: its row numbers with their pre-tokens (packed), and its distinct words.
+def _planes(x: np.ndarray) -> list[np.ndarray]:
+    """The low three bytes of each number apart: the high ones compress to little."""
+    each = x.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return [np.ascontiguousarray(each[:, b]) for b in range(3)]
+
+
+def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
+    """For each block a row with its documents' pre-tokens by number (bucket SEQUENCE), and a row for each
+    bucket of words: the distinct words that hash there, with their numbers.
 
     docs: (row long, text). A block ends with a task's input at the latest.
     """
@@ -151,18 +159,23 @@ def split_blocks(docs: DataFrame, pattern: str) -> DataFrame:
         seq: list[np.ndarray] = []
         held = 0
 
-        def close() -> pa.RecordBatch:
-            flat = np.concatenate(seq) if seq else np.zeros(0, np.int32)
+        def close() -> Iterator[pa.RecordBatch]:
+            block = uuid.uuid4().int >> 65  # a retried task makes new blocks; only those of the committed one are written
+            flat = np.concatenate(seq)
             # frequent words get small numbers: short codes once compressed
-            count = np.bincount(flat, minlength=len(number))
-            order = np.argsort(-count, kind="stable")
+            order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
-            words = list(number)
-            planes = rank[flat].astype("<u4").view(np.uint8).reshape(-1, 4)
-            packed = _pack(np.array(rows, np.int64), np.array(sizes, np.int32), *(np.ascontiguousarray(planes[:, b]) for b in range(3)))
-            block = uuid.uuid4().int >> 65  # a retried task makes new blocks; only those of the committed one are written
-            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packed], pa.binary()), pa.array([[words[i] for i in order]], pa.list_(pa.string()))], ["block", "docs", "words"])
+            yield _row(block, SEQUENCE, _pack(np.array(rows, np.int64), np.array(sizes, np.int32), *_planes(rank[flat])))
+            data, at = text_bytes(pa.array(list(number), pa.large_string()))
+            dealt = (bytes_hash(data).hash(at[:-1], at[1:]) % U64(buckets)).astype(np.int64)
+            by_bucket = order[np.argsort(dealt[order], kind="stable")]
+            cut = np.searchsorted(dealt[by_bucket], np.arange(buckets + 1))
+            for b in range(buckets):
+                mine = by_bucket[cut[b] : cut[b + 1]]
+                if len(mine):
+                    length = at[mine + 1] - at[mine]
+                    yield _row(block, b, _pack(np.diff(rank[mine], prepend=0).astype("<i4"), length.astype("<u4"), gather(data, at[mine], length)))
 
         for batch in batches:
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -173,67 +186,93 @@ def split_blocks(docs: DataFrame, pattern: str) -> DataFrame:
                 sizes.append(len(found))
                 held += len(text)
                 if held >= BLOCK_BYTES or len(number) >= 1 << 23:
-                    yield close()
+                    yield from close()
                     number, rows, sizes, seq, held = {}, [], [], [], 0
         if rows:
-            yield close()
+            yield from close()
 
     return docs.mapInArrow(run, BLOCK_DDL)
 
 
+def _row(block: int, bucket: int, packed: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([bucket], pa.int32()), pa.array([packed], pa.binary())], ["block", "bucket", "packed"])
+
+
 def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) with each distinct word encoded once; ids as little-endian 32-bit integers."""
+    """The ids of the words of each (block, bucket), dealt by bucket: all of the corpus's rows of a word
+    are in one task, which encodes it once and joins its ids to each of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
+        ids_of: dict[bytes, bytes] = {}
         for batch in batches:
-            # white space runs and the like are one pre-token: the piece is encoded without splitting it again
-            ids = [np.array(encode(w), "<u4").tobytes() for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["word", "ids"])
-
-    return words.mapInArrow(run, "word string, ids binary")
+            for block, bucket, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                number, length, data = _unpack(packed, "<i4", "<u4", np.uint8)
+                ends = np.cumsum(length).tolist()
+                data = data.tobytes()
+                found = []
+                for start, end in zip([0, *ends[:-1]], ends, strict=True):
+                    word = data[start:end]
+                    ids = ids_of.get(word)
+                    if ids is None:
+                        # white space runs and the like are one pre-token: the piece is encoded without splitting it again
+                        ids = ids_of[word] = np.array(encode(word.decode()), "<u4").tobytes()
+                    found.append(ids)
+                sizes = np.array([len(x) // 4 for x in found], "<u4")
+                yield _row(block, bucket, _pack(number, sizes, *_planes(np.frombuffer(b"".join(found), "<u4"))))
+
+    return words.mapInArrow(run, BLOCK_DDL)
 
 
 def encode_rows(docs: DataFrame, out_ddl: str, finish, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """docs: (row, text) with a unique row. finish(rows, ids, cut) makes the Arrow batch of a block's
-    documents from the row numbers, all ids one after the other, and where each row's ids begin (n + 1)."""
+    """docs: (row, text). finish(rows, ids, cut) makes the Arrow batch of some of a block's documents
+    from the row numbers, all ids one after the other, and where each row's ids begin (n + 1)."""
     import public_tokenizers
 
     spark = docs.sparkSession
     path, pattern = path or vocabulary_path(), pattern or public_tokenizers.PATTERN
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     at = new_path(spark, "blocks")
-    split_blocks(docs, pattern).write.option("compression", "zstd").parquet(at)
+    split_blocks(docs, pattern, max(16, tasks)).write.option("compression", "uncompressed").parquet(at)  # packed already
     blocks = spark.read.schema(BLOCK_DDL).parquet(at)
-    occurring = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    by_word = occurring.repartition(tasks, "word")
-    # distinct() and the join need no other shuffle: both are dealt by word already
-    ids = encode_words(by_word.select("word").distinct(), path)
-    found = by_word.join(ids.hint("shuffle_merge"), "word").select("block", "number", "ids")
+    ids = encode_words(blocks.where(F.col("bucket") != SEQUENCE).repartition(tasks, "bucket"), path)
 
     def put_together(key: tuple, sequences: pa.Table, words: pa.Table) -> pa.Table:
-        number = words.column("number").to_numpy()
-        flat, cut = text_bytes(words.column("ids").combine_chunks() if words.num_rows else pa.array([], pa.binary()))
-        flat = flat.view("<u4") if len(flat) else np.zeros(0, "<u4")
-        start, length = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-        start[number], length[number] = cut[:-1] // 4, np.diff(cut) // 4
-        rows, sizes, a, b, c = _unpack(sequences.column("docs")[0].as_py(), np.int64, np.int32, np.uint8, np.uint8, np.uint8)
-        seq = a.astype(np.int32) | (b.astype(np.int32) << 8) | (c.astype(np.int32) << 16)
-        parts = []
+        parts, upto = [], 0
+        numbers, starts, lengths = [], [], []
+        for packed in words.column("packed"):
+            step, size, a, b, c = _unpack(packed.as_py(), "<i4", "<u4", np.uint8, np.uint8, np.uint8)
+            size = size.astype(np.int64)
+            numbers.append(np.cumsum(step))
+            starts.append(upto + np.cumsum(size) - size)
+            lengths.append(size)
+            parts.append(_joined(a, b, c))
+            upto += len(a)
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        count = sum(map(len, numbers))
+        start, length = np.zeros(count, np.int64), np.zeros(count, np.int64)
+        for n, x, y in zip(numbers, starts, lengths, strict=True):
+            start[n], length[n] = x, y
+        rows, sizes, a, b, c = _unpack(sequences.column("packed")[0].as_py(), np.int64, np.int32, np.uint8, np.uint8, np.uint8)
+        seq = _joined(a, b, c)
         edges = np.cumsum([0, *sizes])
-        lo = 0
-        while lo < len(rows):  # some million tokens at a time
-            hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + (1 << 20), "right")) - 1)
+        out, lo = [], 0
+        while lo < len(rows):  # some hundred thousand tokens at a time
+            hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + (1 << 19), "right")) - 1)
             s = seq[edges[lo] : edges[hi]]
             n = length[s]
             total = np.zeros(len(s) + 1, np.int64)
             np.cumsum(n, out=total[1:])
-            parts.append(finish(rows[lo:hi], gather(flat, start[s], n), total[edges[lo : hi + 1] - edges[lo]]))
+            out.append(finish(rows[lo:hi], gather(flat, start[s], n), total[edges[lo : hi + 1] - edges[lo]]))
             lo = hi
-        return pa.Table.from_batches(parts)
+        return pa.Table.from_batches(out)
+
+    sequences = spark.read.schema(BLOCK_DDL).parquet(at).where(F.col("bucket") == SEQUENCE)
+    return sequences.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(put_together, out_ddl)
+
 
-    sequences = spark.read.schema(BLOCK_DDL).parquet(at).select("block", "docs")
-    return sequences.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(put_together, out_ddl)
+def _joined(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return a.astype(np.uint32) | (b.astype(np.uint32) << 8) | (c.astype(np.uint32) << 16)
 
 
 def encode_texts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path: str | None = None, with_decoded: bool = False) -> DataFrame:

@@ -19,6 +19,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 WORD_BYTE = ~SPACE
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Punctuation that may be cut off a word.
+PUNCT = np.zeros(256, bool)
+PUNCT[[ord(c) for c in ".,;:!?\"'()[]{}-*#%&$|<>_~`"]] = True
 #: First byte of a code point: everything but UTF-8 continuation bytes.
 LEAD = (np.arange(256) & 0xC0) != 0x80
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -62,6 +65,11 @@ class Ranges:
         return mix(self.raw(start, end) + (end - start).astype(U64))
 
 
+def bytes_hash(data: np.ndarray) -> Ranges:
+    """Hashes of byte ranges."""
+    return Ranges(_BYTE_VALUE[data])
+
+
 class Words:
     """Words of a batch of texts.
 
@@ -101,12 +109,22 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.per_text)
 
     def bytes_hash(self) -> Ranges:
-        return Ranges(_BYTE_VALUE[self.data])
+        return bytes_hash(self.data)
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
         return self.bytes_hash().hash(self.start, self.end)
 
+    def trimmed(self, cut: np.ndarray, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each word without the bytes of cut, up to most of them, at either end."""
+        start, end = self.start.copy(), self.end.copy()
+        for _ in range(most if len(start) else 0):
+            off = (start < end) & cut[self.data[np.minimum(start, len(self.data) - 1)]]
+            start[off] += 1
+            off = (start < end) & cut[self.data[end - 1]]
+            end[off] -= 1
+        return start, end
+
     def windows(self, k: int) -> np.ndarray:
         """Index of the first word of each k-word window that lies within one text."""
         if len(self) < k:
