@@ -12,8 +12,8 @@ link when ``den * |x & y| >= num * |x | y|``; documents of linked sets form comp
    set sizes and the smallest position. A pair of blocks is skipped when no sizes and positions in it could
    reach the threshold, and a block never meets itself.
 4. Answers derived: pairs that survive are first answered from the stored answers of a shared leader
-   (the symmetric difference lies between the difference and the sum of the two known ones), then by a 512-bit
-   parity bitmap that bounds it from below; only what is still open is compared in full.
+   (the symmetric difference lies between the difference and the sum of the two known ones), then by parity
+   bitmaps that bound it from below; only what is still open is compared in full.
 
 Defined results: null or empty texts have an empty set and link with nothing (component: themselves); fewer
 than k words: the whole sequence is the one shingle; repeated rows with one id each get a row; rows
@@ -39,7 +39,6 @@ HOT = 64
 SKETCH_BITS = 23
 TOKEN_BITS = 25
 KEYS = 4
-PARITY_WORDS = 8
 
 
 def shingles(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -64,6 +63,22 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - (num * n + den - 1) // den + 1 if n else 0
 
 
+def parity_bits(n: np.ndarray) -> np.ndarray:
+    """The width of a set's parity bitmap: a power of two of about half its size, 512 at least."""
+    return np.left_shift(1, np.maximum(9, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) - 1))
+
+
+def parity_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two parity bitmaps differ: at most the size of the sets' symmetric difference.
+    Positions are low hash bits, so a wider bitmap folds onto a narrower one."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     sizes = np.cumsum([0, *(len(p) for p in parts)]).astype(np.int32)
     flat = np.concatenate(parts) if parts else np.zeros(0, U64)
@@ -94,24 +109,25 @@ def set_rows(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray | None
                 first = np.cumsum([0, *n])[:-1]
                 some = n > 0
                 key = [np.zeros(len(n), U64) for _ in range(KEYS + 2)]
-                parity = np.zeros((len(n), PARITY_WORDS), np.int64)
+                bits = parity_bits(n)
                 if len(flat):
                     for j in range(KEYS):
                         key[j][some] = np.minimum.reduceat(mix(flat ^ salts[j]), first[some])
                     key[KEYS][some] = np.add.reduceat(mix(flat + U64(0x1234567)), first[some])
                     key[KEYS + 1][some] = np.add.reduceat(mix(flat * U64(0xD6E8FEB86659FD93) + U64(9)), first[some])
-                    width = PARITY_WORDS * 64
-                    odd = np.bincount(np.repeat(np.arange(len(n)), n) * width + (mix(flat) >> U64(55)).astype(np.int64), minlength=len(n) * width) & 1
-                    parity = np.packbits(odd.astype(np.uint8).reshape(len(n), width), axis=1).view(np.int64)
+                base = np.cumsum(bits) - bits
+                at = np.repeat(base, n) + (mix(flat).astype(U64) & np.repeat(bits - 1, n).astype(U64)).astype(np.int64)
+                odd = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)).tobytes()
+                parity = [odd[x // 8 : (x + y) // 8] for x, y in zip(base.tolist(), bits.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(n.astype(np.int64)), pa.array(key[KEYS].view(np.int64)), pa.array(key[KEYS + 1].view(np.int64)),
-                     _lists([_prefix(s, hot, num, den) for s in sets]), _lists(list(np.stack(key[:KEYS], 1))), _lists([p.view(U64) for p in parity])],
+                     _lists([_prefix(s, hot, num, den) for s in sets]), _lists(list(np.stack(key[:KEYS], 1))), pa.array(parity, pa.binary())],
                     ["id", "n", "k1", "k2", "prefix", "keys", "parity"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, prefix array<long>, keys array<long>, parity array<long>")
+    return narrow.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, prefix array<long>, keys array<long>, parity binary")
 
 
 def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
@@ -250,9 +266,17 @@ def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: st
     info = sets.select("id", "n", "parity")
     for i in (1, 2):
         pairs = pairs.join(info.select(F.col("id").alias(f"id{i}"), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")), f"id{i}")
-    apart = sum((F.bit_count(F.col("parity1")[w].bitwiseXOR(F.col("parity2")[w])) for w in range(PARITY_WORDS)), F.lit(0))
     most = F.lit(den - num) * (F.col("n1") + F.col("n2"))  # sides * |x ^ y| may be that at most
-    pairs = written(pairs.where(F.lit(sides) * apart <= most).select("id1", "id2", "n1", "n2"), "pairs")
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = [parity_apart(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
+            size = np.asarray(batch.column(2)) + np.asarray(batch.column(3))
+            keep = sides * np.array(d, np.int64) <= (den - num) * size
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep))
+
+    pairs = pairs.select("id1", "id2", "n1", "n2", "parity1", "parity2").mapInArrow(bounded, "id1 long, id2 long, n1 long, n2 long")
+    pairs = written(pairs, "pairs")
     known = answers.select(F.col("a").alias("id"), F.col("b").alias("lead"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"))
     known = known.unionByName(known.select(F.col("lead").alias("id"), "lead", F.lit(0).cast("long").alias("d")).distinct())
     k1, k2 = (known.select(F.col("id").alias(f"id{i}"), "lead", F.col("d").alias(f"d{i}")) for i in (1, 2))
