@@ -1,8 +1,11 @@
 """Queries and oracle SQL of all operators of this folder."""
 
+from functools import wraps
 from importlib import import_module
 
-MODULES = ("bpe", "chat", "decontaminate", "jaccard", "lines", "packing", "quality", "repeats", "toxicity", "warc")
+from .shared import ship
+
+MODULES = ("chat", "bpe", "quality", "decontaminate", "repeats", "jaccard", "packing", "toxicity", "lines", "warc")
 
 
 def _merged(what: str) -> dict:
@@ -12,8 +15,19 @@ def _merged(what: str) -> dict:
     return out
 
 
+def shipped(query):
+    """The query, after the package has been sent to the workers."""
+
+    @wraps(query)
+    def run(spark, *args):
+        ship(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def queries() -> dict:
-    return _merged("QUERIES")
+    return {name: shipped(q) for name, q in _merged("QUERIES").items()}
 
 
 def oracle_sql() -> dict:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,17 @@ def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of a narrow table."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each Spark context (what --py-files does)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loomcat_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / "loomcat.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._loomcat_shipped = True
