@@ -9,29 +9,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcat.llm import bpe, decontaminate, jaccard, lines, quality
+from loomcat.llm.registry import shipped
 from loomcat.llm.shared import written
 
 
+@shipped
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the standard policy rejects."""
     return quality.keep_good(docs, quality.STANDARD)
 
 
+@shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated and near-repeated lines out of the texts; every document stays."""
     return lines.dedup_lines(docs)
 
 
+@shipped
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
     return jaccard.keep_one(docs, k=5, num=4, den=5)
 
 
+@shipped
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item within a fifth of its words in edits."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@shipped
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text and the text decoded from them."""
     return bpe.encode_texts(docs, with_decoded=True)
