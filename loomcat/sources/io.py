@@ -28,7 +28,7 @@ STATE_DDL = "source string, product_id string, content_hash string, first_seen t
 
 def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """A1: all ``*_products.json`` array files, with file_name; order is by file_name where it matters."""
-    df = spark.read.schema(schema.PRODUCT).option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{folder.rstrip('/')}/*_products.json")
+    df = spark.read.schema(schema.PRODUCT_DDL).option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{folder.rstrip('/')}/*_products.json")
     return df.select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
@@ -65,7 +65,7 @@ def write_catalog(products: DataFrame, path: str) -> None:
 
 def read_written_catalog(spark: SparkSession, path: str) -> DataFrame:
     """What ``write_catalog`` wrote, with its types."""
-    return schema.ordered(spark.read.schema(schema.PRODUCT).json(path))
+    return schema.ordered(spark.read.schema(schema.PRODUCT_DDL).json(path))
 
 
 def read_crawl_reports(spark: SparkSession, path: str) -> DataFrame:

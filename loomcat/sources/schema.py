@@ -30,7 +30,7 @@ FIELDS = (
 )
 NAMES = tuple(f for f, _, _ in FIELDS)
 PRODUCT_DDL = ", ".join(f"{f} {kind}" for f, kind, _ in FIELDS)
-PRODUCT = T.StructType.fromDDL(PRODUCT_DDL)
+
 REQUIRED = ("title", "price", "image_urls", "product_url")
 VARIANT_DEFAULTS = {"currency": "EGP"}
 
