@@ -35,6 +35,8 @@ from .shared import new_path
 from .textops import U64, bytes_hash, text_bytes
 
 BLOCK_BYTES = 24 << 20
+LEVEL = 9
+ESCAPE = 240
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -126,7 +128,7 @@ SEQUENCE = -1
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    return b"".join(len(z).to_bytes(8, "little") + z for z in (zstandard.ZstdCompressor(3).compress(a.tobytes()) for a in arrays))
+    return b"".join(len(z).to_bytes(8, "little") + z for z in (zstandard.ZstdCompressor(LEVEL).compress(a.tobytes()) for a in arrays))
 
 
 def _unpack(data: bytes, *kinds) -> list[np.ndarray]:
@@ -144,6 +146,29 @@ def _planes(x: np.ndarray) -> list[np.ndarray]:
     return [np.ascontiguousarray(each[:, b]) for b in range(3)]
 
 
+def number_codes(x: np.ndarray) -> list[np.ndarray]:
+    """Small, frequent numbers as a byte each; others as a byte of their high bits (from ESCAPE up) and
+    two bytes kept apart, so that each stream compresses by its own kind. Numbers from about 2 ** 20 (one
+    very long text) make it four plain byte streams."""
+    if len(x) and int(x.max()) - ESCAPE >= (256 - ESCAPE) << 16:
+        each = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+        return list(each)
+    code = x.astype(np.uint8)
+    big = x >= ESCAPE
+    rest = (x[big] - ESCAPE).astype(np.uint32)
+    code[big] = (ESCAPE + (rest >> 16)).astype(np.uint8)
+    return [code, (rest >> 8).astype(np.uint8), rest.astype(np.uint8), np.zeros(0, np.uint8)]
+
+
+def numbers_of(code: np.ndarray, mid: np.ndarray, low: np.ndarray, top: np.ndarray) -> np.ndarray:
+    out = code.astype(np.uint32)
+    if len(top):
+        return out | mid.astype(np.uint32) << 8 | low.astype(np.uint32) << 16 | top.astype(np.uint32) << 24
+    big = code >= ESCAPE
+    out[big] = ((out[big] - ESCAPE) << 16) + (mid.astype(np.uint32) << 8) + low + ESCAPE
+    return out
+
+
 def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
     """For each block a row with its documents' pre-tokens by number (bucket SEQUENCE), and a row for each
     bucket of words: the distinct words that hash there, with their numbers.
@@ -166,7 +191,7 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
             order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
-            yield _row(block, SEQUENCE, _pack(np.array(rows, np.int64), np.array(sizes, np.int32), *_planes(rank[flat])))
+            yield _row(block, SEQUENCE, _pack(np.array(rows, np.int64), np.array(sizes, np.int32), *number_codes(rank[flat])))
             data, at = text_bytes(pa.array(list(number), pa.large_string()))
             dealt = (bytes_hash(data).hash(at[:-1], at[1:]) % U64(buckets)).astype(np.int64)
             by_bucket = order[np.argsort(dealt[order], kind="stable")]
@@ -185,7 +210,7 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
                 rows.append(row)
                 sizes.append(len(found))
                 held += len(text)
-                if held >= BLOCK_BYTES or len(number) >= 1 << 23:
+                if held >= BLOCK_BYTES or len(number) >= 1 << 19:
                     yield from close()
                     number, rows, sizes, seq, held = {}, [], [], [], 0
         if rows:
@@ -253,8 +278,8 @@ def encode_rows(docs: DataFrame, out_ddl: str, finish, path: str | None = None,
         start, length = np.zeros(count, np.int64), np.zeros(count, np.int64)
         for n, x, y in zip(numbers, starts, lengths, strict=True):
             start[n], length[n] = x, y
-        rows, sizes, a, b, c = _unpack(sequences.column("packed")[0].as_py(), np.int64, np.int32, np.uint8, np.uint8, np.uint8)
-        seq = _joined(a, b, c)
+        rows, sizes, *codes = _unpack(sequences.column("packed")[0].as_py(), np.int64, np.int32, np.uint8, np.uint8, np.uint8, np.uint8)
+        seq = numbers_of(*codes)
         edges = np.cumsum([0, *sizes])
         out, lo = [], 0
         while lo < len(rows):  # some hundred thousand tokens at a time
