@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -33,7 +34,7 @@ def duck():
 
 
 def plain(x):
-    if x is None or x != x:
+    if x is None or x is pd.NA or x != x:
         return None
     if hasattr(x, "tolist"):
         x = x.tolist()
