@@ -46,7 +46,10 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
     """
     ids = nodes.groupBy("node").agg(F.min("parent").alias("parent"))
     known = ids.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
-    ids = cut(ids.join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("above")))
+    # roots have no parent: kept out of the join, they would all be dealt to one task
+    replies = ids.where("parent IS NOT NULL").join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("above"))
+    roots = ids.where("parent IS NULL").select("node", F.col("parent").alias("above"))
+    ids = cut(replies.unionByName(roots))
     total, jumps = ids.count(), [ids.where("above is not null")]
     while not jumps[-1].isEmpty() and 2 ** len(jumps) <= 2 * total:
         onward = jumps[-1].select(F.col("node").alias("above"), F.col("above").alias("far"))
