@@ -451,6 +451,16 @@ def test_lines_brute_force(spark):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_simhash_of_repeated_rows(spark):
+    words = [f"w{i}" for i in range(200)]
+    for text in (" ".join(words), " ".join(f"v{i}" for i in range(400))):
+        df = spark.createDataFrame([(1, text)] * 3, "doc_id long, text string")
+        table = lines.written(lines.line_table(df, "doc_id", "text"), "lines")
+        h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in set(text.split())]
+        want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+        assert [r.sim % 2**64 for r in lines.with_simhash(table).collect()] == [want] * 3
+
+
 def test_lines_edges(spark, edge):
     out = lines.dedup_lines(edge).collect()
     assert len(out) == len(EDGE) and sum(r.text is None for r in out) == 2
