@@ -12,6 +12,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .textops import LEAD, Words, covered, mix, pieces, repeated, sums, U64
+from .textops import LEAD, U64, Ranges, Words, covered, mix, pieces, repeated, sums
 
 WINDOW = 8
 SYMBOLS = np.zeros(256, bool)
@@ -35,7 +37,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("many_symbols", "10 * n_symbols > n_words"),
     ("short_words", "n_words > 0 AND word_chars < 2 * n_words"),
     ("long_words", "word_chars > 15 * n_words"),
-    ("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
 )
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 
@@ -86,8 +88,6 @@ def measurements(texts: pa.Array) -> dict[str, np.ndarray]:
     n = len(at) - 1
     # windows of eight words that occur twice in their text
     at_word = w.windows(WINDOW)
-    from .textops import Ranges
-
     window = Ranges(rolling.hash(w.start, w.end)).hash(at_word, at_word + WINDOW)
     window ^= mix(w.text_of()[at_word].astype(U64) + U64(1))
     twice = at_word[repeated(window)]
@@ -165,16 +165,13 @@ def keep_good(docs: DataFrame, policy: Policy = STANDARD, text_col: str = "text"
                 extra = pa.StructArray.from_arrays([pa.array(m[c].astype(np.int64)) for c in MEASURES], list(MEASURES))
                 yield pa.RecordBatch.from_arrays([*piece.columns, extra], [*piece.schema.names, taken])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*docs.schema.fields, T.StructField(taken, T.StructType([T.StructField(c, T.LongType()) for c in MEASURES]))])
     bits = " | ".join(f"IF({_qualified(rule, taken)}, {BIT[name]}, 0)" for name, rule in RULES)
     return docs.mapInArrow(run, schema).where(f"(({bits}) & {policy.mask}) = 0").drop(taken)
 
 
 def _qualified(rule: str, prefix: str) -> str:
-    import re
-
+    """The rule on the fields of a struct column."""
     return re.sub(r"\b(" + "|".join(MEASURES) + r")\b", rf"{prefix}.\1", rule)
 
 
