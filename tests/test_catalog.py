@@ -77,8 +77,8 @@ def test_small_functions(spark):
     assert one(spark, embed.average_embeddings(F.array(F.lit(1.0)), F.array(F.lit(1.0), F.lit(2.0)), strict=False)) is None
     with pytest.raises(Exception, match="lengths differ"):
         one(spark, embed.average_embeddings(F.array(F.lit(1.0)), F.array(F.lit(1.0), F.lit(2.0))))
-    text = embed.embedding_text(F.lit("men"), F.lit("hoodies"), none(), F.lit("Town Team"), none(), F.lit("Oversized Cotton Hoodie"), F.array(F.lit("Black"), F.lit("Olive")), F.array(F.lit("cotton")), none())
-    assert one(spark, text) == "men's hoodies. by Town Team. Oversized Cotton Hoodie. color Black, Olive. material cotton"
+    text = embed.embedding_text(F.lit("men"), F.lit("hoodies"), none(), F.lit("Acme"), none(), F.lit("Oversized Cotton Hoodie"), F.array(F.lit("Black"), F.lit("Olive")), F.array(F.lit("cotton")), none())
+    assert one(spark, text) == "men's hoodies. by Acme. Oversized Cotton Hoodie. color Black, Olive. material cotton"
     nothing = F.lit(None).cast("array<string>")
     assert one(spark, embed.embedding_text(none(), none(), none(), none(), none(), none(), nothing, nothing, F.lit("a b"))) == ". a b"
 
