@@ -156,3 +156,19 @@ def test_entry_without_llm(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'i5_scope_audit' in q and not any(k.startswith('op') for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, check=True)
+
+
+def test_apply_scope(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    raw = rows(spark, ("a", "s", "tee", Decimal(5), ["i"], "u", 1), ("b", "s", "laptop", Decimal(5), ["i"], "u", 2), ("c", "t", "boots", Decimal(5), ["i"], "u", 3)).drop("seq")
+    report.apply_scope(stages.add_scope(raw), path)
+    got = {r.product_id: r.scope.scope_type for r in io.read_written_catalog(spark, path).collect()}
+    assert got == {"a": "clothing", "c": "footwear"}
+
+
+def test_defaults(spark):
+    from loomcat.sources import schema
+
+    r = schema.with_defaults(spark.createDataFrame([(None, 1.005, "x")], "title string, price double, other string")).first()
+    assert (r.title, r.currency, r.image_urls, r.color_images, r.variants, r.sku) == ("", "EGP", [], {}, [], None)
+    assert tuple(r.asDict()) == schema.NAMES
