@@ -41,7 +41,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once for each Spark context (what --py-files does)."""
+    """Sends this package to the Python workers, once for each Spark context (what --py-files does). The archive is
+    made on the driver, whose file server hands it out: executors never read the driver's folder."""
     sc = spark.sparkContext
     if getattr(sc, "_loomcat_shipped", False):
         return
