@@ -451,6 +451,29 @@ def test_lines_brute_force(spark):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_lines_wide_recall(spark):
+    """Of lines with a word replaced, 0.9 go, against a brute force without the SimHash condition."""
+    rng = random.Random(8)
+    items, pairs = [], 0
+    for n in range(150):
+        w = [f"{rng.choice('bcdfgklm')}{rng.randrange(10**4)}" for _ in range(rng.choice([6, 8, 12, 20, 40]))]
+        v = list(w)
+        v[rng.randrange(len(v))] = f"x{rng.randrange(10**3)}"
+        a, b = " ".join(w), " ".join(v)
+        pairs += 5 * levenshtein(a, b) <= max(len(a), len(b))
+        items += [(2 * n, a), (2 * n + 1, b)]
+    df = spark.createDataFrame(items, "doc_id long, text string")
+    gone = {r.doc_id for r in lines.dedup_lines(df, wide=True).collect() if r.text == ""}
+    assert all(n % 2 for n in gone) and len(gone) <= pairs and len(gone) >= 0.9 * pairs and pairs > 120
+
+
+def test_simhash_of_many_words(spark):
+    """Of 128 words and more, a bit that all words have takes its counter into the sign bit."""
+    top = [x for x in (f"w{i}" for i in range(4000)) if xxhash.xxh64(x.encode(), seed=42).intdigest() >> 63]
+    table = lines.written(lines.line_table(spark.createDataFrame([(1, " ".join(top[:200]))], "doc_id long, text string"), "doc_id", "text"), "lines")
+    assert lines.with_simhash(table).first().sim < 0
+
+
 def test_simhash_of_repeated_rows(spark):
     words = [f"w{i}" for i in range(200)]
     for text in (" ".join(words), " ".join(f"v{i}" for i in range(400))):
