@@ -451,6 +451,13 @@ def test_lines_brute_force(spark):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_lines_of_few_words(spark):
+    items = [(1, "All rights reserved.\nchapter 1\n\n你好世界你好世界"), (2, "all  rights reserved.\nchapter 2\n\n你好世界你好世界"), (3, " \n*")]
+    for wide in (False, True):
+        out = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(items, "doc_id long, text string"), wide=wide).collect()}
+        assert out == {1: items[0][1], 2: "chapter 2\n", 3: " \n*"}
+
+
 def test_lines_wide_recall(spark):
     """Of lines with a word replaced, 0.9 go, against a brute force without the SimHash condition."""
     rng = random.Random(8)
