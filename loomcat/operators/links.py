@@ -6,25 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-SITEMAP_CAP, PRODUCT_CAP = 200, 100_000
 # The path of a marketplace product.
 PRODUCT_PATH = r"(?i)/[a-z0-9][a-z0-9%-]+-\d{6,}\.html$"
 
 
-def sitemap_urls(pages: DataFrame, stores: DataFrame) -> DataFrame:
-    """C17: (source, kind, loc, position) of sitemap bodies (source, position, html). Nested sitemaps are
-    unique, products match the store's pattern; each kind is capped for each store by position, as the crawl
-    budget of a store demands."""
-    locs = pages.select("source", F.col("position").alias("page"), F.posexplode(F.regexp_extract_all("html", F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))).alias("at", "loc"))
+def sitemap_urls(pages: DataFrame, stores: DataFrame, sitemap_cap: int | None = None, product_cap: int | None = None) -> DataFrame:
+    """C17: (source, kind, loc, position, at) of sitemap bodies (source, position, html): position is that of the page and
+    at the place in it. Nested sitemaps are unique, products match the store's pattern. A cap (a store's crawl budget)
+    leaves only the first so many of its kind for each store."""
+    locs = pages.select("source", "position", F.posexplode(F.regexp_extract_all("html", F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))).alias("at", "loc"))
     named = locs.join(F.broadcast(stores.select("source", "product_pattern")), "source")
     nested = F.lower("loc").endswith(".xml") | F.lower("loc").contains("sitemap")
     kind = F.when(nested, "sitemap").when(F.expr("loc RLIKE product_pattern"), "product")
-    some = named.withColumn("kind", kind).where("kind IS NOT NULL")
-    first = Window.partitionBy("source", "loc").orderBy("page", "at")
-    some = some.withColumn("seen", F.when(F.col("kind") == "sitemap", F.row_number().over(first)).otherwise(1)).where("seen = 1")
-    rank = F.row_number().over(Window.partitionBy("source", "kind").orderBy("page", "at"))
-    cap = F.when(F.col("kind") == "sitemap", SITEMAP_CAP).otherwise(PRODUCT_CAP)
-    return some.withColumn("position", rank).where(F.col("position") <= cap).select("source", "kind", "loc", "position")
+    some = named.withColumn("kind", kind).select("source", "kind", "loc", F.struct("position", "at").alias("place"))
+    sitemaps = some.where("kind = 'sitemap'").groupBy("source", "kind", "loc").agg(F.min("place").alias("place"))
+    products = some.where("kind = 'product'")
+    out = first_of_store(sitemaps, sitemap_cap).unionByName(first_of_store(products, product_cap))
+    return out.select("source", "kind", "loc", "place.position", "place.at")
+
+
+def first_of_store(links: DataFrame, cap: int | None) -> DataFrame:
+    if cap is None:
+        return links
+    rank = F.row_number().over(Window.partitionBy("source").orderBy("place"))
+    return links.withColumn("rank", rank).where(F.col("rank") <= cap).drop("rank")
 
 
 def robots_sitemaps(pages: DataFrame) -> DataFrame:

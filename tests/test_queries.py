@@ -26,3 +26,15 @@ def test_sync_then_delta_is_empty(spark):
     after, _ = offers.sync(C.stored(spark, SMALL), C.catalog(spark, SMALL))
     kinds = {r.change for r in offers.sync(after, C.catalog(spark, SMALL))[1].collect()}
     assert kinds == {"unchanged"}
+
+
+def test_sitemaps_beyond_a_crawl_budget(spark):
+    from loomcat.operators import links
+
+    body = "<loc>http://a/x.xml</loc><loc>http://a/product/1</loc>" + "".join(f"<loc>http://a/{i}.xml</loc>" for i in range(300))
+    pages = spark.createDataFrame([("s", 2, body), ("s", 1, "<loc> http://a/x.xml </loc><loc>http://a/product/1</loc>")], "source string, position int, html string")
+    stores = spark.createDataFrame([("s", "/product/")], "source string, product_pattern string")
+    rows = links.sitemap_urls(pages, stores).collect()
+    assert len(rows) == 303 and [(r.position, r.at) for r in rows if r.loc == "http://a/x.xml"] == [(1, 0)]
+    capped = links.sitemap_urls(pages, stores, sitemap_cap=200, product_cap=1).collect()
+    assert sorted(r.kind for r in capped) == ["product"] + ["sitemap"] * 200
