@@ -17,8 +17,9 @@ Items are dealt to blocks of about ``BLOCK_BYTES`` and each block is broadcast t
 documents; nothing about documents is collected or shuffled.
 
 Defined results: null or empty texts hold nothing and items without words are in no document; repeated
-rows give rows of their own, and of a repeated item id the smallest distance counts; items under
-``STEPS`` words are found where they occur unchanged.
+rows give rows of their own, and of a repeated item id the smallest distance counts. Items under ``SHORT``
+words have too few walks, so they are cut into one segment more than the edits allowed: whatever the edits, one segment
+stays whole, and each place of a segment is a candidate. Their recall is 1 by construction.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ STEPS = 16
 SAMPLES = 5
 REPEATS = 4
 LEAST_MOVE = 4
+SHORT = 32
 BLOCK_BYTES = 16 << 20
 TABLE_BITS = 22
 #: Which steps each repetition samples; the first word of a walk is always one.
@@ -56,6 +58,22 @@ def most_edits(n: int) -> int:
     return n // 5
 
 
+def segments(n: int) -> list[tuple[int, int]]:
+    """An item of n words in most_edits(n) + 1 parts of about one length: (offset, length)."""
+    parts = most_edits(n) + 1
+    cuts = [n * j // parts for j in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def gram_keys(h: np.ndarray, m: int) -> np.ndarray:
+    """A hash of each m words in a row."""
+    key = np.full(max(0, len(h) - m + 1), U64(m))
+    for j in range(m):
+        key = (key ^ h[j : j + len(key)]) * U64(0x9E3779B97F4A7C15)
+        key ^= key >> U64(29)
+    return key
+
+
 def walk_keys(h: np.ndarray, repeat: int, tables: list[np.ndarray] | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """The walks from every position of h: (positions, their keys after each sampled step, where they end). With tables,
     a position is given up as soon as its key's bucket is empty. h ends with STEPS words that are never begun at."""
@@ -92,12 +110,12 @@ class Items:
             found = [np.zeros(1 << TABLE_BITS, bool) for _ in range(SAMPLES - 1)]
             last, owner, offset = [], [], []
             for i, x in enumerate(self.words):
-                if not len(x):
+                if len(x) < SHORT:
                     continue
                 at, keys, end = walk_keys(np.r_[x, pad], r)
-                # a walk that runs out of the item reads what the document has there: of no use, unless the item is short
+                # a walk that runs out of the item reads what the document has there: of no use
                 # and one that hardly moved says too little
-                inside = (at <= max(0, len(x) - STEPS)) & (end - at >= LEAST_MOVE)
+                inside = (at <= len(x) - STEPS) & (end - at >= LEAST_MOVE)
                 for t, k in zip(found, keys, strict=False):
                     t[(k[inside] >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
                 last.append(keys[-1][inside])
@@ -109,11 +127,13 @@ class Items:
             self.keys.append(key[order])
             self.owner.append(np.concatenate(owner)[order] if owner else np.zeros(0, np.int64))
             self.offset.append(np.concatenate(offset)[order] if owner else np.zeros(0, np.int64))
-        # short items: by the hash of the whole item
-        self.short: dict[int, dict[int, list[int]]] = {}
+        # short items by their segments: for each length, sorted keys with item and offset
+        grams: dict[int, list[tuple[int, int, int]]] = {}
         for i, x in enumerate(self.words):
-            if 0 < len(x) < STEPS:
-                self.short.setdefault(len(x), {}).setdefault(x.tobytes(), []).append(i)
+            if 0 < len(x) < SHORT:
+                for offset, m in segments(len(x)):
+                    grams.setdefault(m, []).append((int(gram_keys(x[offset : offset + m], m)[0]), i, offset))
+        self.grams = {m: (np.array([g[0] for g in some], U64), np.array([g[1:] for g in some], np.int64)) for m, some in ((m, sorted(g)) for m, g in grams.items())}
 
     def candidates(self, h: np.ndarray, first: np.ndarray) -> set[tuple[int, int, int]]:
         """(text, item, about where the item would begin in the text's words)."""
@@ -131,12 +151,16 @@ class Items:
             p = np.repeat(at[hit], n[hit])
             begin = p - self.offset[r][which] - first[text_of[p]]
             out.update(zip(text_of[p].tolist(), self.owner[r][which].tolist(), (begin // 4 * 4).tolist(), strict=True))
-        for n, known in self.short.items():
-            heads = np.array([np.frombuffer(k, U64)[0] for k in known], U64)
-            for p in np.flatnonzero(np.isin(h, heads)).tolist():
-                for i in known.get(h[p : p + n].tobytes(), ()):
-                    if p + n <= first[text_of[p] + 1]:
-                        out.add((int(text_of[p]), i, int(p - first[text_of[p]])))
+        for m, (known, of) in self.grams.items():
+            keys = gram_keys(h, m)
+            lo = np.searchsorted(known, keys, "left")
+            hit = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == keys)
+            hit = hit[hit + m <= first[text_of[hit] + 1]]
+            n = np.searchsorted(known, keys[hit], "right") - lo[hit]
+            which = np.repeat(lo[hit] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            p = np.repeat(hit, n)
+            begin = p - of[which, 1] - first[text_of[p]]
+            out.update(zip(text_of[p].tolist(), of[which, 0].tolist(), (begin // 4 * 4).tolist(), strict=True))
         return out
 
 

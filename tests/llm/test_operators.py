@@ -299,6 +299,31 @@ def test_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()} == {(1, 5), (3, 6)}
 
 
+@pytest.mark.parametrize("n", [5, 8, 10, 15, 16, 17, 18, 20, 24, 28, 31, 32])
+def test_recall_by_length(n):
+    """Copies with random edits up to the limit: all of short items are found, 0.9 of others; none without edits is missed."""
+    rng = random.Random(n)
+    words = [f"w{i}" for i in range(n)]
+    found = 0
+    for _ in range(60):
+        w = list(words)
+        for e in range(rng.randrange(1, n // 5 + 1)):
+            at, kind = rng.randrange(len(w)), rng.randrange(3)
+            w[at : at + (kind > 0)] = [f"z{e}"] if kind < 2 else []
+        w = [f"f{rng.randrange(10**5)}" for _ in range(rng.randrange(30))] + w + [f"g{rng.randrange(10**5)}" for _ in range(rng.randrange(30))]
+        h, first = decontaminate.symbols(pa.array(["other text", " ".join(w)]))
+        leak = decontaminate.leaks_in(h, first, decontaminate.Items([1], [" ".join(words)]))
+        assert {x[0] for x in leak} <= {1}
+        found += bool(leak)
+    assert found == 60 if n < decontaminate.SHORT else found >= 54
+
+
+def test_first_word_changed():
+    item = [f"w{i}" for i in range(16)]
+    h, first = decontaminate.symbols(pa.array([" ".join(["a", "zz", *item[1:], "b"])]))
+    assert [x[:3] for x in decontaminate.leaks_in(h, first, decontaminate.Items([1], [" ".join(item)]))] == [(0, 0, 1)]
+
+
 # ---- 7 ---------------------------------------------------------------------------------------------
 
 
