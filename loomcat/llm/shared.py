@@ -34,6 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores as it takes to be none of the taken ones (upper and lower case are one)."""
+    low = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in low:
+            name = f"_{name}"
+        low.add(name.lower())
+        out.append(name)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of a narrow table."""
     shared_dir(df.sparkSession)
