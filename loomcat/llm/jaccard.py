@@ -11,13 +11,15 @@ link when ``den * |x & y| >= num * |x | y|``; documents of linked sets form comp
 3. Index lists: the entries of one token are grouped into blocks by component, with the range of
    set sizes and the smallest position. A pair of blocks is skipped when no sizes and positions in it could
    reach the threshold, and a block never meets itself.
-4. Answers derived: pairs that survive are first answered from the stored answers of a shared leader
-   (the symmetric difference lies between the difference and the sum of the two known ones), then by parity
-   bitmaps that bound it from below; only what is still open is compared in full.
-
-Defined results: null or empty texts have an empty set and link with nothing (component: themselves); fewer
-than k words: the whole sequence is the one shingle; repeated rows with one id each get a row; rows
-with a null id belong to their set, and a component's id is the smallest id that is not null.
+4. Answers derived: an answer of step 2 keeps what a set lacks of its leader and what it has beside it. Pairs that
+   survive are bounded by parity bitmaps; those with a leader in common get their overlap from its size and these two
+   small differences, ``|x & y| = |l| - |gone_x | gone_y| + |extra_x & extra_y|``; only the others are compared in full.
+
+The result is components. A set is known by its 128-bit digest, never by a document's id, so ids may be of any type, missing or repeated.
+Defined results: null or empty texts have an empty set and link with nothing (component: themselves); fewer than k words: the
+whole sequence is the one shingle; repeated rows each get a row; rows with a null id belong to their set, and a component's id
+is the smallest id that is not null (null if it has none); an empty table gives an empty one; other columns are ignored by
+``similar`` and carried by ``keep_one``, whatever their names. A text needs some 40 bytes of memory for each of its bytes in its task.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import bitmap, components, in_bitmap
-from .shared import written
+from .shared import fresh, written
 from .textops import U64, Ranges, Words, mix, pieces
 
 HOT = 64
@@ -59,6 +61,15 @@ def shingles(texts: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
+def digests(flat: np.ndarray, first: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of each set's digest; flat: all sets one after the other, some: which are not empty."""
+    k1, k2 = np.zeros(len(some), U64), np.zeros(len(some), U64)
+    if len(flat):
+        k1[some] = np.add.reduceat(mix(flat + U64(0x1234567)), first[some])
+        k2[some] = np.add.reduceat(mix(flat * U64(0xD6E8FEB86659FD93) + U64(9)), first[some])
+    return k1, k2
+
+
 def prefix_length(n: int, num: int, den: int) -> int:
     return n - (num * n + den - 1) // den + 1 if n else 0
 
@@ -95,7 +106,7 @@ def _prefix(s: np.ndarray, hot: np.ndarray | None, num: int, den: int) -> np.nda
 
 
 def set_rows(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray | None, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, k1, k2, prefix, keys, parity): k1 and k2 are a 128-bit digest of the set."""
+    """(id, n, k1, k2, h, prefix, keys, parity): k1 and k2 are a 128-bit digest of the set, h is the text's hash."""
     salts = [mix(np.array([i + 1], U64))[0] for i in range(KEYS)]
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -108,26 +119,25 @@ def set_rows(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray | None
                 flat = np.concatenate(sets)
                 first = np.cumsum([0, *n])[:-1]
                 some = n > 0
-                key = [np.zeros(len(n), U64) for _ in range(KEYS + 2)]
+                key = [np.zeros(len(n), U64) for _ in range(KEYS)]
+                k1, k2 = digests(flat, first, some)
                 bits = parity_bits(n)
                 if len(flat):
                     for j in range(KEYS):
                         key[j][some] = np.minimum.reduceat(mix(flat ^ salts[j]), first[some])
-                    key[KEYS][some] = np.add.reduceat(mix(flat + U64(0x1234567)), first[some])
-                    key[KEYS + 1][some] = np.add.reduceat(mix(flat * U64(0xD6E8FEB86659FD93) + U64(9)), first[some])
                 base = np.cumsum(bits) - bits
                 at = np.repeat(base, n) + (mix(flat).astype(U64) & np.repeat(bits - 1, n).astype(U64)).astype(np.int64)
                 odd = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)).tobytes()
                 parity = [odd[x // 8 : (x + y) // 8] for x, y in zip(base.tolist(), bits.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(n.astype(np.int64)), pa.array(key[KEYS].view(np.int64)), pa.array(key[KEYS + 1].view(np.int64)),
-                     _lists([_prefix(s, hot, num, den) for s in sets]), _lists(list(np.stack(key[:KEYS], 1))), pa.array(parity, pa.binary())],
-                    ["id", "n", "k1", "k2", "prefix", "keys", "parity"],
+                    [piece.column(0), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), piece.column(2),
+                     _lists([_prefix(s, hot, num, den) for s in sets]), _lists(list(np.stack(key, 1))), pa.array(parity, pa.binary())],
+                    ["id", "n", "k1", "k2", "h", "prefix", "keys", "parity"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, prefix array<long>, keys array<long>, parity binary")
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    return narrow.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, h long, prefix array<long>, keys array<long>, parity binary")
 
 
 def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
@@ -185,50 +195,74 @@ def shared_entries(sets: DataFrame, shared: np.ndarray) -> DataFrame:
     return sets.select("id", F.col("n").cast("int").alias("n"), "prefix").mapInArrow(run, "id long, n int, pos int, token long")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, tokens) of the documents in ids: a bitmap of the ids lets through few others, whose sets
-    are never joined; no text is shuffled."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, F.xxhash64("id")))
+def full_sets(docs: DataFrame, wanted: DataFrame, k: int, text_col: str) -> DataFrame:
+    """(id, tokens) of the sets wanted (id, k1, k2, h): a bitmap of the hashes h of their texts lets through few others, a
+    task makes the set of each text once, and digests decide which set it is; no text is shuffled."""
+    hashes = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, F.col("h")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            low = np.asarray(batch.column(2)).view(U64)
-            batch = batch.filter(pa.array(in_bitmap(wanted.value, low)))
-            for piece in pieces(batch, "text"):
-                sets = shingles(piece.column(1), k)
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "tokens"])
+            h = np.asarray(batch.column(1))
+            keep = in_bitmap(hashes.value, h.view(U64))
+            for i in np.flatnonzero(keep).tolist():
+                if h[i] in seen:
+                    keep[i] = False
+                seen.add(int(h[i]))
+            for piece in pieces(batch.filter(pa.array(keep)), "text"):
+                sets = shingles(piece.column(0), k)
+                n = np.array([len(s) for s in sets])
+                k1, k2 = digests(np.concatenate(sets), np.cumsum([0, *n])[:-1], n > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["k1", "k2", "tokens"])
 
-    narrow = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
-    return narrow.mapInArrow(run, "id long, tokens binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    narrow = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    return narrow.mapInArrow(run, "k1 long, k2 long, tokens binary").join(wanted.select("id", "k1", "k2"), ["k1", "k2"]).select("id", "tokens").dropDuplicates(["id"])
 
 
-def overlaps(docs: DataFrame, pairs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """pairs (a, b) with the size of the sets' intersection."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    sets = written(full_sets(docs, ids, k, id_col, text_col), "sets")
+def overlaps(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, text_col: str) -> DataFrame:
+    """pairs (a, b) of sets with the size of their intersection, and a's difference from b: what it lacks (gone) and what it
+    has beside it (extra)."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = written(sets.select("id", "k1", "k2", "h").join(ids, "id", "left_semi"), "wanted")
+    full = written(full_sets(docs, wanted, k, text_col), "full")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [len(np.intersect1d(np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64), assume_unique=True)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
+            both, gone, extra = [], [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
+                in_y = in_sorted(y, x)
+                both.append(int(in_y.sum()))
+                extra.append(x[~in_y].tobytes())
+                gone.append(y[~in_sorted(x, y)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(gone, pa.binary()), pa.array(extra, pa.binary())], ["a", "b", "both", "gone", "extra"])
 
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long")
+    left = full.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
+    right = full.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long, gone binary, extra binary")
 
 
-def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id) of each row of docs."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    if kind not in ("bigint", "int", "smallint", "tinyint"):
-        raise TypeError(f"{id_col} must be an integer, not {kind}")
-    docs = docs.withColumn(id_col, F.col(id_col).cast("long"))
+def in_sorted(among: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values are among the sorted ones."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
+def derived(n: int, gone: tuple[bytes, bytes], extra: tuple[bytes, bytes]) -> int:
+    """The overlap of two sets from their differences from one leader of n tokens."""
+    g, e = ([np.frombuffer(x, U64) for x in pair] for pair in (gone, extra))
+    return n - len(np.union1d(*g)) + len(np.intersect1d(*e, assume_unique=True))
+
+
+def clusters(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The documents (id, n, k1, k2, h) and the component of each set (k1, k2, root, component_id)."""
     rows = written(set_rows(docs, k, num, den, hot_tokens(docs, k, text_col), id_col, text_col), "sets")
-    # equal sets are one; one without any id gets a negative stand-in
+    # equal sets are one, with a number of its own
     sets = (
         rows.where("n > 0").groupBy("k1", "k2")
-        .agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value(F.struct("prefix", "keys", "parity")).alias("s"))
-        .select(F.coalesce("least", -F.abs(F.col("k1")) - 1).alias("id"), "least", "copies", "n", "s.prefix", "s.keys", "s.parity", "k1", "k2")
+        .agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value(F.struct("prefix", "keys", "parity", "h")).alias("s"))
+        .select(F.monotonically_increasing_id().alias("id"), "least", "copies", "n", "s.prefix", "s.keys", "s.parity", "s.h", "k1", "k2")
     )
     sets = written(sets, "distinct")
     sides = num + den
@@ -242,9 +276,10 @@ def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: st
     leaders = keyed.groupBy("j", "key", "size").agg(F.min(F.struct((-F.col("copies")).alias("c"), "id", "n")).alias("l"), F.count("*").alias("many")).where("many > 1").select("j", "key", "size", F.col("l.id").alias("lead"), F.col("l.n").alias("n_lead"))
     star = keyed.join(leaders, ["j", "key", "size"]).where((F.col("id") != F.col("lead")) & compatible(F.col("n"), F.col("n_lead")))
     star = written(star.select(F.col("id").alias("a"), F.col("lead").alias("b"), F.col("n").alias("na"), F.col("n_lead").alias("nb")).distinct(), "star")
-    answers = written(overlaps(docs, star, k, id_col, text_col).join(star, ["a", "b"]), "answers")
     linked = F.lit(den) * F.col("both") >= F.lit(num) * (F.col("na") + F.col("nb") - F.col("both"))
-    first = written(components(answers.where(linked).select("a", "b")), "first")
+    # only links are kept: their differences are a small part of the sets
+    answers = written(overlaps(docs, sets, star, k, text_col).join(star, ["a", "b"]).where(linked), "answers")
+    first = written(components(answers.select("a", "b")), "first")
 
     # index lists in blocks of one component; tokens of a single prefix are left out first
     tokens = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
@@ -262,11 +297,10 @@ def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: st
     expanded = grown.join(e1, ["token", "root1"]).join(e2, ["token", "root2"]).where(near).select("id1", "id2")
     pairs = single.unionByName(expanded).distinct()
 
-    # answers from stored ones, then the parity bound
+    # the parity bound, then answers derived from those of a leader in common
     info = sets.select("id", "n", "parity")
     for i in (1, 2):
         pairs = pairs.join(info.select(F.col("id").alias(f"id{i}"), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")), f"id{i}")
-    most = F.lit(den - num) * (F.col("n1") + F.col("n2"))  # sides * |x ^ y| may be that at most
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,31 +311,51 @@ def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: st
 
     pairs = pairs.select("id1", "id2", "n1", "n2", "parity1", "parity2").mapInArrow(bounded, "id1 long, id2 long, n1 long, n2 long")
     pairs = written(pairs, "pairs")
-    known = answers.select(F.col("a").alias("id"), F.col("b").alias("lead"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"))
-    known = known.unionByName(known.select(F.col("lead").alias("id"), "lead", F.lit(0).cast("long").alias("d")).distinct())
-    k1, k2 = (known.select(F.col("id").alias(f"id{i}"), "lead", F.col("d").alias(f"d{i}")) for i in (1, 2))
-    bounds = pairs.join(k1, "id1").join(k2, ["id2", "lead"]).groupBy("id1", "id2").agg(F.max(F.abs(F.col("d1") - F.col("d2"))).alias("least_d"), F.min(F.col("d1") + F.col("d2")).alias("most_d"))
-    judged = written(pairs.join(bounds, ["id1", "id2"], "left").withColumn("yes", F.lit(sides) * F.col("most_d") <= most).withColumn("no", F.lit(sides) * F.col("least_d") > most), "judged")
-    open_ = judged.where("NOT coalesce(yes, false) AND NOT coalesce(no, false)").select(F.col("id1").alias("a"), F.col("id2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb"))
-    compared = overlaps(docs, open_, k, id_col, text_col).join(open_, ["a", "b"]).where(linked).select("a", "b")
-    links = judged.where("coalesce(yes, false)").select(F.col("id1").alias("a"), F.col("id2").alias("b")).unionByName(compared)
-    links = links.unionByName(first.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    final = components(links)
-
-    named = sets.select("id", "least", "k1", "k2").join(final.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = answers.select(F.col("a").alias("id"), F.col("b").alias("lead"), F.col("nb").alias("n_lead"), "gone", "extra")
+    known = known.unionByName(known.select(F.col("lead").alias("id"), "lead", "n_lead", F.lit(b"").alias("gone"), F.lit(b"").alias("extra")).distinct())
+    k1, k2 = (known.select(F.col("id").alias(f"id{i}"), "lead", F.col("gone").alias(f"gone{i}"), F.col("extra").alias(f"extra{i}"), *(["n_lead"] if i == 1 else [])) for i in (1, 2))
+    ids = known.select("id", "lead")
+    common = pairs.join(ids.withColumnRenamed("id", "id1"), "id1").join(ids.withColumnRenamed("id", "id2"), ["id2", "lead"]).groupBy("id1", "id2", "n1", "n2").agg(F.min("lead").alias("lead"))
+    common = written(common, "common")
+
+    def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [derived(r["n_lead"], (r["gone1"], r["gone2"]), (r["extra1"], r["extra2"])) for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(both, pa.int64())], ["a", "b", "na", "nb", "both"])
+
+    answered = common.join(k1, ["id1", "lead"]).join(k2, ["id2", "lead"]).select("id1", "id2", "n1", "n2", "n_lead", "gone1", "gone2", "extra1", "extra2")
+    answered = answered.mapInArrow(derive, "a long, b long, na long, nb long, both long").where(linked).select("a", "b")
+    open_ = pairs.join(common.select("id1", "id2"), ["id1", "id2"], "left_anti").select(F.col("id1").alias("a"), F.col("id2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb"))
+    compared = overlaps(docs, sets, open_, k, text_col).join(open_, ["a", "b"]).where(linked).select("a", "b")
+    links = answered.unionByName(compared).unionByName(first.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    named = sets.select("id", "least", "k1", "k2").join(components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = named.join(least, "root").select("k1", "k2", "component_id")
-    some = rows.where("n > 0").select("id", "n", "k1", "k2").join(by_set, ["k1", "k2"]).select("id", "n", "component_id")
+    return rows.select("id", "n", "k1", "k2", "h"), named.join(least, "root").select("k1", "k2", "root", "component_id")
+
+
+def similar(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_shingles, component_id) of each row of docs."""
+    rows, by_set = clusters(docs, k, num, den, id_col, text_col)
+    some = rows.where("n > 0").join(by_set, ["k1", "k2"]).select("id", "n", "component_id")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return some.unionByName(empty).select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return some.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without all but one document of each component: that with the smallest id stays. Texts
-    without words are groups of their own; rows without an id stay only where their group has no id."""
-    found = similar(docs, k, num, den, id_col, text_col)
-    gone = found.where(F.col(id_col).isNotNull() & (F.col(id_col) != F.col("component_id"))).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """docs, all columns, with one row of each component: that with the smallest id (a missing id comes last), of several
+    rows with that id that with the smallest text hash, of equal ones any. Texts without words all stay."""
+    rows, by_set = clusters(docs, k, num, den, id_col, text_col)
+    found = rows.where("n > 0").join(by_set, ["k1", "k2"]).groupBy("root", "id", "h").agg(F.count("*").alias("n"))
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("b"))
+    stays = F.col("id").eqNullSafe(F.col("b.id")) & (F.col("h") == F.col("b.h"))
+    # rows that go, and those that stay once of several equal ones; all others are not named
+    i, h, once, mine = fresh(docs.columns, "i", "h", "once", "mine")
+    named = written(found.join(best, "root").where(~stays | (F.col("n") > 1)).select(F.col("id").alias(i), F.col("h").alias(h), stays.alias(once)), "verdicts")
+    joined = docs.withColumn(mine, F.xxhash64(text_col)).join(named, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(mine) == F.col(h)), "left")
+    kept = joined.where(F.col(once).isNull())
+    if not named.where(once).isEmpty():
+        kept = kept.unionByName(joined.where(once).dropDuplicates([id_col, mine]))
+    return kept.select(*docs.columns)
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:
