@@ -115,15 +115,19 @@ class Words:
         """A 64-bit hash of each word."""
         return self.bytes_hash().hash(self.start, self.end)
 
-    def trimmed(self, cut: np.ndarray, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of each word without the bytes of cut, up to most of them, at either end."""
-        start, end = self.start.copy(), self.end.copy()
-        for _ in range(most if len(start) else 0):
-            off = (start < end) & cut[self.data[np.minimum(start, len(self.data) - 1)]]
-            start[off] += 1
-            off = (start < end) & cut[self.data[end - 1]]
-            end[off] -= 1
-        return start, end
+    def trimmed(self, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each word without the bytes of cut at either end; of a word of nothing else, both are its end."""
+        if not len(self.start):
+            return self.start, self.end
+        stays = ~cut[self.data]
+        at = np.flatnonzero(stays)
+        if not len(at):
+            return self.end, self.end
+        after = np.searchsorted(at, self.start)
+        before = np.searchsorted(at, self.end) - 1
+        start = np.where(after < len(at), at[np.minimum(after, len(at) - 1)], self.end)
+        empty = start >= self.end
+        return np.where(empty, self.end, start), np.where(empty, self.end, at[np.maximum(before, 0)] + 1)
 
     def windows(self, k: int) -> np.ndarray:
         """Index of the first word of each k-word window that lies within one text."""

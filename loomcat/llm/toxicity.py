@@ -3,13 +3,15 @@
 Terms of a document are its distinct words (A-Z lowered, punctuation cut off both ends) and their
 first four bytes, each as a 64-bit hash. The model has a weight and a vector of ``FACTORS`` numbers
 for each term it has learned, so a pair of terms (an insult and a group) can score more than the
-sum of both. Terms are looked up in a table of ``2 ** SLOT_BITS`` slots by low hash bits and checked
-by 32 high bits, so a rare word cannot pass for a learned one; the table's size is fixed.
-
-Training reads at most ``sample`` labelled rows (a documented bound, the smallest hashes of their
-ids); scoring reads every whole text. Defined results: a null or empty text has no terms and gets
-the model's bias; several labels of one id: the largest counts; without two classes to learn from,
-every score is the share of positive labels (0 without any).
+sum of both. Terms are known by their whole 64-bit hash: none is lost to another one, and a rare word cannot pass for
+a learned one. A bitmap of ``2 ** SLOT_BITS`` low hash bits goes first, so most words of a text cost one look.
+
+Training reads at most ``sample`` labelled rows (a documented bound, the smallest hashes of their ids); scoring reads every
+whole text. The model learns the terms of three or more of these rows; its size is a parameter: at most ``most_terms`` of
+them, those whose label odds lie the most standard errors from none. Defined results: a null or empty text has no terms and
+gets the model's bias; several labels of one id: the largest counts; repeated rows are scored each; without two classes to
+learn from, every score is the share of positive labels (0 without any); an empty table gives an empty one; other columns
+are ignored, whatever their names. A text needs some 60 bytes of memory for each of its bytes in its task.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from .textops import PUNCT, U64, Words, mix, pieces
 SAMPLE = 10_000
 FACTORS = 8
 SLOT_BITS = 21
-MOST_TERMS = 20_000
+MOST_TERMS = 50_000
 SURE = 3.3
 PREFIX_BYTES = 4
 THRESHOLD = 0.7
@@ -55,15 +57,19 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     bias: float
-    slot_row: np.ndarray  # int32, row of the weights, -1: empty
-    slot_sign: np.ndarray  # uint32, high bits of the term's hash
+    known: np.ndarray  # uint64, the terms' hashes in order
+    slots: np.ndarray  # bool, which low bits they have
     weight: np.ndarray  # float32 (rows,)
     factor: np.ndarray  # float32 (rows, FACTORS)
 
     def rows(self, h: np.ndarray) -> np.ndarray:
         """The row of each term, -1 if it was not learned."""
-        slot = (h & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
-        return np.where(self.slot_sign[slot] == (h >> U64(32)).astype(np.uint32), self.slot_row[slot], -1)
+        out = np.full(len(h), -1, np.int64)
+        if len(self.known):
+            some = np.flatnonzero(self.slots[(h & U64(len(self.slots) - 1)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.known, h[some]), len(self.known) - 1)
+            out[some] = np.where(self.known[at] == h[some], at, -1)
+        return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
         w = Words(texts, lower=True)
@@ -94,7 +100,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(y, -30, 30)))
 
 
-def train(docs_terms: list[np.ndarray], labels: np.ndarray, epochs: int = 8, rate: float = 0.1, seed: int = 11) -> Model:
+def train(docs_terms: list[np.ndarray], labels: np.ndarray, epochs: int = 8, rate: float = 0.1, seed: int = 11, most_terms: int = MOST_TERMS) -> Model:
     """Fits the machine by mini-batch AdaGrad on the logistic loss."""
     n = len(labels)
     share = float(labels.mean()) if n else 0.0
@@ -102,22 +108,17 @@ def train(docs_terms: list[np.ndarray], labels: np.ndarray, epochs: int = 8, rat
         known, at = np.unique(np.concatenate(docs_terms), return_inverse=True)
         of = np.repeat(labels, [len(t) for t in docs_terms])
         df, pos = np.bincount(at, minlength=len(known)), np.bincount(at, of, len(known))
-        ok = (df >= 3) & (df <= max(3, 0.5 * n))
+        ok = df >= 3
         known, df, pos = known[ok], df[ok], pos[ok]
         # log odds of the label with the term, and how many standard errors they lie from 0
         odds = np.log((pos + 0.5) / (labels.sum() + 1)) - np.log((df - pos + 0.5) / (n - labels.sum() + 1))
         z = odds / np.sqrt(1 / (pos + 0.5) + 1 / (df - pos + 0.5))
-        top = np.sort(np.lexsort((known, -df, -np.abs(z)))[:MOST_TERMS])
-        known, df, odds, z = known[top], df[top], odds[top], z[top]
-        slot = (known & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
-        by_df = np.lexsort((known, -df, slot))  # two terms in one slot: the more frequent one stays
-        by_df = by_df[np.r_[True, slot[by_df][1:] != slot[by_df][:-1]]] if len(known) else by_df
-        known, slot, odds, z = known[by_df], slot[by_df], odds[by_df], z[by_df]
+        top = np.sort(np.lexsort((known, -df, -np.abs(z)))[:most_terms])
+        known, odds, z = known[top], odds[top], z[top]
     else:
-        known, slot = np.zeros(0, U64), np.zeros(0, np.int64)
-    m = Model(0.0, np.full(1 << SLOT_BITS, -1, np.int32), np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(len(known), np.float32), np.zeros((len(known), FACTORS), np.float32))
-    m.slot_row[slot] = np.arange(len(known))
-    m.slot_sign[slot] = (known >> U64(32)).astype(np.uint32)
+        known = np.zeros(0, U64)
+    m = Model(0.0, known, np.zeros(1 << SLOT_BITS, bool), np.zeros(len(known), np.float32), np.zeros((len(known), FACTORS), np.float32))
+    m.slots[(known & U64((1 << SLOT_BITS) - 1)).astype(np.int64)] = True
     rng = np.random.default_rng(seed)
     p0 = min(max(share, 1e-9), 1 - 1e-9)
     m.bias = float(np.log(p0 / (1 - p0)))
@@ -152,7 +153,7 @@ def train(docs_terms: list[np.ndarray], labels: np.ndarray, epochs: int = 8, rat
     return m
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, most_terms: int = MOST_TERMS) -> Model:
     """Fits on at most ``sample`` labelled rows, those with the smallest hash of their id.
 
     What reaches the driver is the bounded sample's term hashes, never its texts.
@@ -176,12 +177,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ys = got.column("y").to_numpy().astype(float)
     each = [np.frombuffer(b.as_py(), U64) for b in got.column("terms")]
     order = sorted(range(len(ys)), key=lambda i: (ys[i], len(each[i]), each[i].tobytes()[:64]))  # the same order in every run
-    return train([each[i] for i in order], ys[order])
+    return train([each[i] for i in order], ys[order], most_terms=most_terms)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 ** SLOT_BITS slots and MOST_TERMS rows
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 ** SLOT_BITS slots and most_terms rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
