@@ -6,34 +6,39 @@ system, committed once, safe to retry. Equal payloads of ``MIN_REVISIT`` bytes o
 record with the smallest page id is the response, the others are revisits that name it.
 
 ``read_archives`` reads the archives back record by record by Content-Length and checks each payload's
-digest. ``capture_runs`` sorts each archive's captures by (URL key, timestamp) into a local run cut at
-global range bounds; ``merge_runs`` merges the segments of all runs that fall in one range by a k-way loser
-tree. Ranges follow each other, so the result is one globally ordered capture history; bounds are on
-(key, timestamp, page id), so one URL with a third of all captures still splits over many ranges.
+digest; it holds one record at a time beside the compressed archive. ``capture_history`` deals the captures to ranges of (URL
+key, timestamp, page id) by Spark's range partitioner, so one URL with a third of all captures splits over many ranges. Within a
+range, batches of captures are sorted into local runs, and the runs are merged by a k-way loser tree; the number of
+runs depends on the size of a range only. Ranges follow each other, so the result is one globally ordered capture history.
 
 Defined results: a null html is an empty payload; a null url is an empty one; line ends in a url are
 percent-encoded; rows that repeat a page id are records of their own (all of them responses if theirs is
-the smallest id of its payload); a null page id is kept and never referred to when another has the payload.
+the smallest id of its payload); a null page id is kept and never referred to when another has the payload; an empty
+table gives archives without records and an empty history; other columns are ignored, whatever their names.
+A record must fit in a task's memory, a compressed archive in 2 GB: ``write_archives`` bounds its bytes, not only its records.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import new_path
+from .shared import new_path, written
 
 MIN_REVISIT = 100
 CRLF = "\r\n"
 FIRST_CAPTURE = 1_704_067_200  # seconds: pages without a capture time get this plus their id
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RANGE_ROWS = 50_000
-SAMPLE_PER_RANGE = 40
+RUN_ROWS = 5_000
+ARCHIVE_BYTES = 256 << 20
 ENTRY = pa.schema(
     [("url_key", pa.string()), ("captured_at", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
      ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("archive", pa.string()), ("offset", pa.int64())]
@@ -69,8 +74,12 @@ def records(pages: DataFrame) -> DataFrame:
     return typed.select(F.concat(head, F.octet_length(block).cast("string"), F.lit(CRLF * 2), block, F.lit(CRLF)).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_archive: int = 20_000) -> None:
-    """Writes a record for each row of pages (page_id, url, html) into gzip archives under path."""
+def write_archives(pages: DataFrame, path: str, records_per_archive: int | None = None) -> None:
+    """Writes a record for each row of pages (page_id, url, html) into gzip archives under path. Unless a number of records is
+    given, it follows from the mean payload, for about ARCHIVE_BYTES before compression."""
+    if records_per_archive is None:
+        mean = pages.agg(F.avg(F.octet_length(F.coalesce("html", F.lit(""))))).first()[0] or 0.0
+        records_per_archive = max(1, int(ARCHIVE_BYTES / (mean + 600)))
     out = records(pages).write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", records_per_archive)
     out.option("zlib.compress.level", "BEST_SPEED").text(path)
 
@@ -83,28 +92,37 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.split("."))) + ")" + slash + path
 
 
-def parse_archive(data: bytes, archive: str) -> Iterator[dict]:
-    """The captures of one uncompressed archive, in order. Fails on a damaged record."""
+def parse_archive(stream, archive: str) -> Iterator[dict]:
+    """The captures of one archive, in order, from a stream of its uncompressed bytes. Fails on a damaged record."""
     at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or data[at : at + 5] != b"WARC/":
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
             raise ValueError(f"{archive}: no record at byte {at}")
-        head = dict(line.split(": ", 1) for line in data[at:end].decode().split("\r\n")[1:])
-        block = data[end + 4 : end + 4 + int(head["Content-Length"])]
+        size, head = len(first), {}
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            size += len(line)
+            name, _, value = line.decode().rstrip("\r\n").partition(": ")
+            head[name] = value
+        block = stream.read(int(head["Content-Length"]))
         http, _, payload = block.partition(b"\r\n\r\n")
-        size = int(http.rpartition(b"Content-Length: ")[2])
+        length = int(http.rpartition(b"Content-Length: ")[2])
         digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
         kind = head["WARC-Type"]
-        if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-            raise ValueError(f"{archive}: damaged payload at byte {at}")
+        if stream.read(4) != b"\r\n\r\n" or (kind == "response" and (len(payload) != length or hashlib.sha256(payload).hexdigest() != digest)):
+            raise ValueError(f"{archive}: damaged record at byte {at}")
         page = lambda x: int(x) if (x := x[len("<urn:page:") : -1]) else None
         url = head["WARC-Target-URI"]
         yield {
             "url_key": url_key(url), "captured_at": head["WARC-Date"], "page_id": page(head["WARC-Record-ID"]), "url": url, "record_type": kind,
-            "payload_bytes": size, "payload_digest": digest, "refers_to": page(head["WARC-Refers-To"]) if kind == "revisit" else None, "archive": archive, "offset": at,
+            "payload_bytes": length, "payload_digest": digest, "refers_to": page(head["WARC-Refers-To"]) if kind == "revisit" else None, "archive": archive, "offset": at,
         }
-        at = end + 4 + len(block) + 4
+        at += size + 2 + len(block) + 4
+
+
+def in_batches(rows: Iterator[dict], schema: pa.Schema, most: int = RUN_ROWS) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while some := list(islice(rows, most)):
+        yield pa.RecordBatch.from_pylist(some, schema)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -114,9 +132,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1), strict=True):
-                name = name.as_py().rpartition("/")[2]
-                rows = list(parse_archive(gzip.decompress(content.as_py()), name))
-                yield pa.RecordBatch.from_pylist(rows, ENTRY)
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_py())), 1 << 20)
+                yield from in_batches(parse_archive(stream, name.as_py().rpartition("/")[2]), ENTRY)
 
     return files.mapInArrow(run, ENTRY_DDL)
 
@@ -167,70 +184,33 @@ class LoserTree:
             self.loser[0] = i
 
 
-def range_bounds(captures: DataFrame, rows_per_range: int = RANGE_ROWS) -> list[tuple]:
-    """Bounds that cut the captures into ranges of about rows_per_range: quantiles of a sample whose
-    size is SAMPLE_PER_RANGE keys a range (what a range partitioner samples). A poor sample makes ranges
-    uneven, never wrong."""
-    n = captures.count()
-    ranges = max(1, -(-n // rows_per_range))
-    if ranges == 1:
-        return []
-    share = min(1.0, ranges * SAMPLE_PER_RANGE / n)
-    picked = captures.where(F.pmod(F.xxhash64("archive", "offset"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    keys = sorted(sort_key(r.asDict()) for r in picked.select("url_key", "captured_at", "page_id").collect())
-    return [keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else []
-
+def merge_ranges(captures: DataFrame, ranges: int) -> DataFrame:
+    """The captures in global order: (range, at, ...), at: position within the range."""
+    placed = pa.schema([("range", pa.int64()), ("at", pa.int64()), *ENTRY])
 
-def capture_runs(captures: DataFrame, bounds: list[tuple]) -> DataFrame:
-    """(range, run, segment): each batch of captures (at most an archive) sorted into a run, and the run
-    cut at the bounds. A segment is an Arrow table of its rows in order."""
-    from bisect import bisect_right
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        runs = []
         for batch in batches:
-            rows = sorted(batch.to_pylist(), key=sort_key)
-            cuts: dict[int, list[dict]] = {}
-            for r in rows:
-                cuts.setdefault(bisect_right(bounds, sort_key(r)), []).append(r)
-            name = f"{rows[0]['archive']}:{rows[0]['offset']}" if rows else ""
-            for k, part in cuts.items():
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, ENTRY, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_table(pa.Table.from_pylist(part, ENTRY))
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["range", "run", "segment"])
-
-    return captures.mapInArrow(run, "range long, run string, segment binary")
-
-
-def merge_runs(runs: DataFrame) -> DataFrame:
-    """The captures in global order: (range, at, ...), at: position within the range."""
-
-    def merge(key: tuple, table: pa.Table) -> pa.Table:
-        segments = [pa.ipc.open_stream(s.as_py()).read_all().to_pylist() for s in table.column("segment")]
-        rows = list(LoserTree(segments, sort_key))
-        out = pa.Table.from_pylist(rows, ENTRY)
-        n = len(rows)
-        return out.add_column(0, "range", pa.array([key[0].as_py()] * n, pa.int64())).add_column(1, "at", pa.array(range(n), pa.int64()))
+            for lo in range(0, batch.num_rows, RUN_ROWS):
+                runs.append(sorted(batch.slice(lo, RUN_ROWS).to_pylist(), key=sort_key))
+        merged = LoserTree(runs, sort_key)
+        yield from in_batches(({"range": number, "at": at, **row} for at, row in enumerate(merged)), placed)
 
-    return runs.groupBy("range").applyInArrow(merge, f"range long, at long, {ENTRY_DDL}")
+    dealt = captures.repartitionByRange(ranges, "url_key", "captured_at", "page_id")
+    return dealt.mapInArrow(merge, f"range long, at long, {ENTRY_DDL}")
 
 
 def capture_history(spark: SparkSession, path: str, rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """The globally ordered captures of all archives under path, with their global position."""
-    captures = read_archives(spark, path)
-    index = new_path(spark, "captures")
-    captures.write.parquet(index)
-    captures = spark.read.schema(ENTRY_DDL).parquet(index)
-    merged_at = new_path(spark, "history")
-    merge_runs(capture_runs(captures, range_bounds(captures, rows_per_range))).write.parquet(merged_at)
-    merged = spark.read.schema(f"range long, at long, {ENTRY_DDL}").parquet(merged_at)
-    sizes = sorted((r["range"], r["n"]) for r in merged.groupBy("range").agg(F.count("*").alias("n")).collect())  # a row a range
-    before, start = 0, []
-    for k, n in sizes:
-        start.append((k, before))
-        before += n
-    starts = spark.createDataFrame(start, "range long, before long")
-    return merged.join(F.broadcast(starts), "range").withColumn("position", F.col("before") + F.col("at")).drop("before", "range", "at")
+    captures = written(read_archives(spark, path), "captures")
+    merged = written(merge_ranges(captures, max(1, -(-captures.count() // rows_per_range))), "history")
+    # a row a range: how many captures lie in the ranges before it
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = merged.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return merged.join(starts, "range").withColumn("position", F.col("before") + F.col("at")).drop("before", "range", "at")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
