@@ -9,12 +9,14 @@
 3. The ids of a block's words meet the block's sequences again by block, and every document's ids are
    put together by position.
 
-Decoding joins ids with the token-byte table, ``decode_table``, one row for each of the vocabulary's
-ids (so its size is bounded by the vocabulary).
-
-A word occurs at most once in each block, so frequent words make no hot key. Defined results: a null
-text is an empty one (no ids, no bytes); repeated rows each get a row; other columns are carried along
-only by ``encode_texts``. A single text longer than a block is a block of its own.
+Decoding joins ids with the token-byte table, ``decode_table``, one row for each of the vocabulary's ids (so its size is
+bounded by the vocabulary). ``decode`` does so for any table of ids. Where ids were just put together (the query, and
+``encode_texts`` with ``with_decoded``), the same join is made within the task, by position in the table, which saves a
+shuffle of every token.
+
+A word occurs at most once in each block, so frequent words make no hot key. Defined results: a null text is an empty
+one (no ids, no bytes); repeated rows each get a row; an empty table gives an empty one; other columns are left out, and
+clash with nothing. Ids may be of any type. A single text longer than a block is a block of its own, and must fit in a task.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import new_path
+from .shared import fresh, new_path, written
 from .textops import U64, bytes_hash, text_bytes
 
 BLOCK_BYTES = 24 << 20
@@ -108,19 +110,17 @@ def decode_table(spark, path: str | None = None) -> DataFrame:
 
 
 def decode(rows: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:
-    """rows with ``decoded`` binary beside the array column of ids: the vocabulary's byte table is held by
-    each task. An id outside the vocabulary fails."""
-    path = path or vocabulary_path()
-    from pyspark.sql import types as T
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(path)
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col))
-            out = [table.decode(np.asarray(x.values, np.int64)) if x.is_valid else None for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
-
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    """rows with ``decoded`` binary beside the array column of ids: ids are exploded with their positions, joined with the
+    token-byte table (a row for each id of the vocabulary, broadcast) and put together again by position. An id outside the
+    vocabulary, or a missing one, makes the row's ``decoded`` null, as a null array does; an empty array gives no bytes."""
+    row, ids, at, parts, n = fresh([*rows.columns, "token_id", "token"], "row", "ids", "at", "parts", "n")
+    named = written(rows.withColumn(row, F.monotonically_increasing_id()), "rows")
+    each = named.select(row, F.posexplode(ids_col).alias(at, "token_id"))
+    joined = each.join(F.broadcast(decode_table(rows.sparkSession, path)), "token_id", "left")
+    whole = joined.groupBy(row).agg(F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct(at, F.hex("token").alias("token"))))).alias(parts), F.count("*").alias(n))
+    text = F.when(F.size(parts) == F.col(n), F.unhex(F.array_join(F.transform(parts, lambda p: p["token"]), "")))
+    out = named.join(whole, row, "left")
+    return out.select(*rows.columns, F.when(F.size(ids_col) == 0, F.lit(b"")).otherwise(text).alias("decoded"))
 
 
 BLOCK_DDL = "block long, bucket int, packed binary"
@@ -314,19 +314,24 @@ def encode_texts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
             names.append("decoded")
         return pa.RecordBatch.from_arrays(columns, names)
 
-    out = encode_rows(_numbered(docs, id_col, text_col), "row long, ids array<int>" + ", decoded string" * with_decoded, finish, path)
+    rows, names = _numbered(docs, id_col, text_col)
+    out = encode_rows(rows, "row long, ids array<int>" + ", decoded string" * with_decoded, finish, path)
+    if names is not None:
+        return out.join(names, "row").select(F.col("id").alias(id_col), *out.columns[1:])
     return out.withColumn("row", F.when(F.col("row") != NO_ID, F.col("row")).cast(kind)).withColumnRenamed("row", id_col)
 
 
 #: Stands for a null id while rows are packed.
 NO_ID = -(2**63) + 1
+INTEGERS = ("bigint", "int", "smallint", "tinyint")
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    kind = docs.schema[id_col].dataType.simpleString()
-    if kind not in ("bigint", "int", "smallint", "tinyint"):
-        raise TypeError(f"{id_col} must be an integer, not {kind}")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("row"), F.col(text_col).alias("text"))
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(row, text), and where ids are no integers, rows are numbered instead: (row, id)."""
+    if docs.schema[id_col].dataType.simpleString() in INTEGERS:
+        return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("row"), F.col(text_col).alias("text")), None
+    named = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), "numbered")
+    return named.select("row", "text"), named.select("row", "id")
 
 
 def op2_bpe(spark, sf_dir: str) -> DataFrame:
@@ -344,7 +349,7 @@ def op2_bpe(spark, sf_dir: str) -> DataFrame:
         text_hex = [hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(ends[cut[:-1]].tolist(), ends[cut[1:]].tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.diff(cut)), pa.array(id_hex), pa.array(text_hex)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    out = encode_rows(_numbered(docs, "doc_id", "text"), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", finish, path)
+    out = encode_rows(_numbered(docs, "doc_id", "text")[0], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", finish, path)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
