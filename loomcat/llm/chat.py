@@ -12,7 +12,8 @@ over the formatted string: the texts of assistant turns.
 
 Defined results: a null text or role is empty; a node whose parent is null or not in the table is a
 root; a null score counts as 0; ties in score go to the smaller leaf id; repeated rows with one node
-id: the smallest parent counts and a turn appears once for each row; nodes on a cycle hang from no root and give no path.
+id: the smallest parent counts and a turn appears once for each row; nodes on a cycle hang from no root and give no path;
+empty tables give empty ones; other columns are ignored, whatever their names. A conversation must fit in a task as one text.
 """
 
 from __future__ import annotations

@@ -13,13 +13,17 @@ steps of each walk; its keys are compared for all words of all documents with th
 that puts the item there. There are ``REPEATS`` repetitions with bits of their own. Keys are probed symbol by
 symbol, so most positions are given up after one or two of the sampled steps.
 
-Items are dealt to blocks of about ``BLOCK_BYTES`` and each block is broadcast to one pass over the
-documents; nothing about documents is collected or shuffled.
+Items are dealt to blocks of about ``BLOCK_BYTES`` and each block is broadcast to one pass over the documents; with
+several blocks the result of each is written before the next one is broadcast, so one block is held at a time. Nothing about
+documents is collected or shuffled.
 
-Defined results: null or empty texts hold nothing and items without words are in no document; repeated
-rows give rows of their own, and of a repeated item id the smallest distance counts. Items under ``SHORT``
-words have too few walks, so they are cut into one segment more than the edits allowed: whatever the edits, one segment
-stays whole, and each place of a segment is a candidate. Their recall is 1 by construction.
+Items under ``SHORT`` words have too few walks, so they are cut into one segment more than the edits allowed: whatever the
+edits, one segment stays whole, and each place of a segment is a candidate. Their recall is 1 by construction.
+
+Defined results: null or empty texts hold nothing and null items or items without words are in no document; repeated rows
+give rows of their own, and of a repeated item id the smallest distance counts; ids may be of any type and missing; an
+empty table of documents or items gives no leaks, and then all documents stay; other columns are ignored by ``leaks`` and
+carried by ``drop_contaminated``, whatever their names. A text needs some 60 bytes of memory for each of its bytes in its task.
 """
 
 from __future__ import annotations
@@ -30,7 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from .shared import written
 from .textops import PUNCT, U64, Words, mix, pieces
 
 STEPS = 16
@@ -196,24 +203,25 @@ def leaks_in(h: np.ndarray, first: np.ndarray, items: Items) -> list[tuple[int,
     return [(t, i, d, end) for (t, i), (d, end) in sorted(best.items())]
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list, list[str]]]:
-    """The items, in blocks of about block_bytes of text, dealt by hash."""
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list, list[str], int]]:
+    """The items, in blocks of about block_bytes of text, dealt by hash, and how many blocks there are."""
     narrow = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL")
     total = narrow.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_bytes))
     for b in range(blocks):
         rows = narrow.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()
-        rows.sort(key=lambda r: (r["i"] is None, r["i"] or 0, r["t"]))
-        yield [r["i"] for r in rows], [r["t"] for r in rows]
+        rows.sort(key=lambda r: (r["t"], str(r["i"])))
+        yield [r["i"] for r in rows], [r["t"] for r in rows], blocks
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id_col, item_col, distance, end_word) of each item that a document holds."""
     spark = docs.sparkSession
-    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("item", benchmark.schema[item_col].dataType), T.StructField("distance", T.IntegerType()), T.StructField("end_word", T.LongType())])
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     parts = []
-    for ids, texts in item_blocks(benchmark, item_col, block_bytes=block_bytes):
+    for ids, texts, blocks in item_blocks(benchmark, item_col, block_bytes=block_bytes):
         shared = spark.sparkContext.broadcast((ids, texts))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -223,21 +231,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                     h, first = symbols(piece.column(1))
                     found = leaks_in(h, first, items)
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column(0).take(pa.array([f[0] for f in found], pa.int64())), pa.array([items.ids[f[1]] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int64())],
+                        [piece.column(0).take(pa.array([f[0] for f in found], pa.int64())), pa.array([items.ids[f[1]] for f in found], item_type), pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int64())],
                         ["id", "item", "distance", "end_word"],
                     )
 
-        parts.append(narrow.mapInArrow(run, f"id {id_kind}, item long, distance int, end_word long"))
+        parts.append(_one_block(narrow.mapInArrow(run, kind), shared, blocks))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(F.col("id").alias(id_col), F.col("item").cast(item_kind).alias(item_col), "distance", "end_word")
+    return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "distance", "end_word")
+
+
+def _one_block(found: DataFrame, shared, blocks: int) -> DataFrame:
+    """found, written and its broadcast freed if there are more blocks."""
+    if blocks == 1:
+        return found
+    found = written(found, "leaks")
+    shared.unpersist()
+    return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs that hold no item, with all their columns; no join and no shuffle."""
     spark = docs.sparkSession
-    for ids, texts in item_blocks(benchmark, block_bytes=block_bytes):
+    for ids, texts, blocks in item_blocks(benchmark, block_bytes=block_bytes):
         shared = spark.sparkContext.broadcast((ids, texts))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -249,7 +266,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                     clean[[f[0] for f in leaks_in(h, first, items)]] = False
                     yield piece.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = _one_block(docs.mapInArrow(run, docs.schema), shared, blocks)
     return docs
 
 

@@ -13,7 +13,8 @@ segment), and for each segment ``doc_id``, ``segment`` (number in its document)
 its document). ``write_packed`` writes these rows as Parquet through Spark's committer.
 
 Defined results: a null or empty text is one segment that holds only the end-of-text id; repeated rows
-and null ids are packed like any others; an empty table gives no rows.
+and null ids are packed like any others; ids may be of any type; an empty table gives no rows; other columns are ignored,
+whatever their names. A very long text is split over rows; it must fit in its task once, with four bytes a token.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import load_ranks, vocabulary_path
 from .shared import new_path
@@ -34,7 +36,7 @@ SEQ_LEN = 2048
 WINDOW_TOKENS = 4 << 20
 END_OF_TEXT = 50256
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-PACKED_DDL = "ids binary, cu_seqlens array<int>, position_ids binary, segments array<struct<doc_id:bigint,segment:int,start:bigint,length:int>>, padding int"
+PACKED_DDL = "ids binary, cu_seqlens array<int>, position_ids binary, segments array<struct<doc_id:{kind},segment:int,start:bigint,length:int>>, padding int"
 
 
 class RoomTree:
@@ -101,10 +103,10 @@ def _tokenizer(path: str):
 class Window:
     """Documents gathered for one packing."""
 
-    def __init__(self, seq_len: int):
-        self.seq_len, self.docs, self.ids, self.held = seq_len, [], [], 0
+    def __init__(self, seq_len: int, id_type: pa.DataType):
+        self.seq_len, self.id_type, self.docs, self.ids, self.held = seq_len, id_type, [], [], 0
 
-    def add(self, doc: int | None, ids: np.ndarray) -> None:
+    def add(self, doc, ids: np.ndarray) -> None:
         self.docs.append(doc)
         self.ids.append(ids)
         self.held += len(ids)
@@ -133,7 +135,7 @@ class Window:
                     out[k].append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["ids"], pa.binary()), pa.array(out["cu_seqlens"], pa.list_(pa.int32())), pa.array(out["position_ids"], pa.binary()),
-                 pa.array(out["segments"], pa.list_(pa.struct([("doc_id", pa.int64()), ("segment", pa.int32()), ("start", pa.int64()), ("length", pa.int32())]))), pa.array(out["padding"], pa.int32())],
+                 pa.array(out["segments"], pa.list_(pa.struct([("doc_id", self.id_type), ("segment", pa.int32()), ("start", pa.int64()), ("length", pa.int32())]))), pa.array(out["padding"], pa.int32())],
                 list(out),
             )
 
@@ -141,20 +143,21 @@ class Window:
 def packed(docs: DataFrame, seq_len: int = SEQ_LEN, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """The packed rows of docs."""
     path = path or vocabulary_path(VOCABULARY)
+    kind, id_type = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(path).encode_to_numpy
-        window = Window(seq_len)
+        window = Window(seq_len, id_type)
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "", disallowed_special=())
                 window.add(doc, np.append(ids, np.uint32(END_OF_TEXT)).astype("<u4"))
                 if window.held >= WINDOW_TOKENS:
                     yield from window.batches()
-                    window = Window(seq_len)
+                    window = Window(seq_len, id_type)
         yield from window.batches()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PACKED_DDL)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PACKED_DDL.format(kind=kind))
 
 
 def write_packed(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -166,6 +169,9 @@ def read_segments(rows: DataFrame) -> DataFrame:
     """(doc_id, segment, start, length, padding, row_segments, ids_sha256) of each segment of packed rows; fails
     where ids, lengths and position resets of a row do not agree."""
 
+    each = rows.schema["segments"].dataType.elementType["doc_id"].dataType
+    id_type = to_arrow_type(each)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -179,10 +185,10 @@ def read_segments(rows: DataFrame) -> DataFrame:
                     if len(part) != s["length"]:
                         raise ValueError("a packed row's lengths do not match its segments")
                     out.append({**s, "padding": r["padding"], "row_segments": len(r["segments"]), "ids_sha256": hashlib.sha256(part.tobytes()).hexdigest()})
-            kind = pa.schema([("doc_id", pa.int64()), ("segment", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("padding", pa.int32()), ("row_segments", pa.int32()), ("ids_sha256", pa.string())])
+            kind = pa.schema([("doc_id", id_type), ("segment", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("padding", pa.int32()), ("row_segments", pa.int32()), ("ids_sha256", pa.string())])
             yield pa.RecordBatch.from_pylist(out, kind)
 
-    return rows.mapInArrow(run, "doc_id long, segment int, start long, length int, padding int, row_segments int, ids_sha256 string")
+    return rows.mapInArrow(run, f"doc_id {each.simpleString()}, segment int, start long, length int, padding int, row_segments int, ids_sha256 string")
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
