@@ -330,7 +330,7 @@ def h4_update_state(spark, d):
 @query(f"WITH {SNAPS_SQL} SELECT product_id, CASE change WHEN 'removed' THEN 'deleted' ELSE change END AS change FROM x")
 def h5_calculate_delta(spark, d):
     s = lambda late: snapshot(spark, d, late).select("product_id", "content_hash")
-    return changes.calculate_delta(s(False), s(True), ("product_id",), "content_hash").select("product_id", "change")
+    return changes.calculate_delta(s(False), s(True), ("product_id",), "content_hash", "product_id").select("product_id", "change")
 
 
 @query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
@@ -453,7 +453,11 @@ def i1_health_report(spark, d):
     return r.withColumns({"accessory": F.coalesce(F.try_element_at("breakdown", F.lit("accessory")), F.lit(0)), "electronics": F.coalesce(F.try_element_at("breakdown", F.lit("electronics")), F.lit(0))}).drop("breakdown")
 
 
-@query()
+REPORT_SQL = """'store: ' || store || chr(10) || 'products: ' || products_scraped || chr(10) || 'requests: ' || requests || chr(10) || 'retries: ' || retries || chr(10) || 'failures: ' || failures || chr(10) || 'dropped: ' || products_dropped
+|| chr(10) || 'seconds: ' || duration_seconds || chr(10) || 'products per request: ' || rate || chr(10) || 'rejected: ' || scope_rejected"""
+
+
+@query(f"WITH {HEALTH_SQL}, t AS (SELECT *, {RATE_SQL} AS rate FROM h), b AS (SELECT store, string_agg(chr(10) || '  ' || substr(k, 10) || ': ' || v, '' ORDER BY k) AS reasons FROM (SELECT store, k, sum(v) AS v FROM s WHERE k LIKE 'rejected/%' GROUP BY ALL) GROUP BY store) SELECT t.store, {REPORT_SQL} || coalesce(reasons, '') AS text FROM t LEFT JOIN b ON b.store = t.store".replace("'store: ' || store", "'store: ' || t.store"))
 def i3_format_report(spark, d):
     return report.format_report(report.health_report(stats(spark, d)))
 
@@ -527,19 +531,26 @@ def c10_jsonld_product(spark, d):
     return out.select("product_id", "title", "brand", "price", "currency", "availability", "gtin", "rating", F.col("review_count").cast("int").alias("review_count"), F.array_join("image_urls", "|").alias("images"), F.array_join("colors", "|").alias("colors"), "category")
 
 
-@query("SELECT 'http://p/' || p_partkey AS url, CAST(1 AS INTEGER) AS block FROM part")
+@query(f"WITH {PARTS_SQL} SELECT 'http://p/' || p_partkey AS url, CAST(1 AS INTEGER) AS block, CASE p_partkey % 3 WHEN 0 THEN 'graph' WHEN 1 THEN 'list' ELSE 'object' END AS form, '<b>' || title || '</b> &amp;  co' AS name FROM p")
 def c1_jsonld_blocks(spark, d):
-    return jsonld.blocks(product_pages(spark, d)).select("url", "block")
+    at = lambda path: jsonld.get(F.col("payload"), path)
+    form = F.when(at('$["@graph"][1].name').isNotNull(), "graph").when(at("$[1].name").isNotNull(), "list").otherwise("object")
+    name = F.coalesce(at('$["@graph"][1].name'), at("$[1].name"), at("$.name"))
+    return jsonld.blocks(product_pages(spark, d)).select("url", "block", form.alias("form"), name.alias("name"))
 
 
-@query("SELECT 'http://p/' || p_partkey AS url, CASE p_partkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS n FROM part")
+@query("SELECT 'http://p/' || p_partkey AS url, CASE p_partkey % 3 WHEN 0 THEN 'ItemPage:-|Product:' || p_partkey || '|-:-' WHEN 1 THEN 'Thing:-|Product:' || p_partkey ELSE 'Product:' || p_partkey END AS nodes FROM part")
 def c2_jsonld_nodes(spark, d):
-    return jsonld.nodes(jsonld.blocks(product_pages(spark, d))).groupBy("url").agg(F.count("*").cast("int").alias("n"))
+    """Type and sku of each node in reading order, members before their wrapper."""
+    kind = F.coalesce(jsonld.get(F.col("node"), '$["@type"][0]'), jsonld.get(F.col("node"), '$["@type"]'), F.lit("-"))
+    each = jsonld.nodes(jsonld.blocks(product_pages(spark, d))).select("url", "at", F.concat_ws(":", kind, F.coalesce(jsonld.get(F.col("node"), "$.sku"), F.lit("-"))).alias("text"))
+    listed = F.sort_array(F.collect_list(F.struct("at", "text")))
+    return each.groupBy("url").agg(F.array_join(F.transform(listed, lambda x: x["text"]), "|").alias("nodes"))
 
 
 @query("SELECT 'http://p/' || p_partkey AS url FROM part WHERE p_partkey % 3 = 0")
 def c3_find_in_graph(spark, d):
-    return jsonld.find(jsonld.nodes(jsonld.blocks(product_pages(spark, d))), "graph").select("url")
+    return jsonld.find(product_pages(spark, d), "graph").select("url")
 
 
 def lines_of(spark: SparkSession, d: str) -> DataFrame:
@@ -551,12 +562,13 @@ def lines_of(spark: SparkSession, d: str) -> DataFrame:
 LINES_SQL = "l AS (SELECT DISTINCT l_partkey, l_suppkey, l_returnflag, CAST(l_extendedprice AS DECIMAL(18,2)) AS lp FROM lineitem), r AS (SELECT l_partkey, min(lp) AS price, max(lp + 10) AS was, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, min(l_suppkey) AS supplier, bool_or(l_returnflag = 'N') AS stock FROM l GROUP BY l_partkey)"
 
 
-@query(f"WITH {LINES_SQL}, {PARTS_SQL} SELECT sha256(lower(p_brand) || ':pid:' || p_partkey) AS product_id, title, r.price, CASE WHEN stock THEN 'in_stock' ELSE 'out_of_stock' END AS availability, CAST(n AS INTEGER) AS n_variants FROM p JOIN r ON l_partkey = p_partkey")
+@query(f"WITH {LINES_SQL}, {PARTS_SQL} SELECT sha256(lower(p_brand) || ':pid:' || p_partkey) AS product_id, title, r.price, CASE WHEN stock THEN 'in_stock' ELSE 'out_of_stock' END AS availability, CAST(n AS INTEGER) AS n_variants, CASE WHEN usd THEN 'USD' ELSE 'EGP' END AS currency, 'http://i/a?x&y' || CASE WHEN flags LIKE '%A%' THEN '|http://i/A&1' ELSE '' END || CASE WHEN flags LIKE '%N%' THEN '|http://i/N&1' ELSE '' END || CASE WHEN flags LIKE '%R%' THEN '|http://i/R&1' ELSE '' END AS images FROM p JOIN r ON r.l_partkey = p_partkey JOIN (SELECT l_partkey AS k, string_agg(DISTINCT l_returnflag, '') AS flags, bool_or(l_returnflag = 'R') AS usd FROM l GROUP BY 1) ON k = p_partkey")
 def c11_jsonld_group(spark, d):
-    vs = F.transform("vs", lambda v: F.struct(F.concat_ws("-", v["l_suppkey"].cast("string"), v["lp"].cast("string"), v["l_returnflag"]).alias("sku"), v["l_returnflag"].alias("color"), F.array(F.struct(v["lp"].cast("string").alias("price"), F.lit("EGP").alias("priceCurrency"), F.when(v["l_returnflag"] == "N", "InStock").otherwise("OutOfStock").alias("availability"))).alias("offers")))
-    body = F.to_json(F.struct(F.lit("ProductGroup").alias("@type"), F.col("title").alias("name"), F.col("p_brand").alias("brand"), F.col("p_partkey").cast("string").alias("productGroupID"), vs.alias("hasVariant")))
+    vs = F.transform("vs", lambda v: F.struct(F.concat_ws("-", v["l_suppkey"].cast("string"), v["lp"].cast("string"), v["l_returnflag"]).alias("sku"), v["l_returnflag"].alias("color"), F.concat(F.lit("http://i/"), v["l_returnflag"], F.lit("&amp;1")).alias("image"), F.array(F.struct(v["lp"].cast("string").alias("price"), F.when(v["l_returnflag"] == "R", "USD").otherwise("EGP").alias("priceCurrency"), F.when(v["l_returnflag"] == "N", "InStock").otherwise("OutOfStock").alias("availability"))).alias("offers")))
+    body = F.to_json(F.struct(F.lit("ProductGroup").alias("@type"), F.col("title").alias("name"), F.col("p_brand").alias("brand"), F.col("p_partkey").cast("string").alias("productGroupID"), F.lit("http://i/a?x&amp;y").alias("image"), vs.alias("hasVariant")))
     pages = parts(spark, d).join(lines_of(spark, d), F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("source"), F.concat(F.lit("http://p/"), F.col("p_partkey").cast("string")).alias("url"), page(body).alias("html"))
-    return jsonld.map_pages(pages).select("product_id", "title", "price", "availability", F.size("variants").alias("n_variants"))
+    shown = F.concat(F.slice("image_urls", 1, 1), F.array_sort(F.expr("slice(image_urls, 2, 9)")))
+    return jsonld.map_pages(pages).select("product_id", "title", "price", "availability", F.size("variants").alias("n_variants"), "currency", F.array_join(shown, "|").alias("images"))
 
 
 def storefront_payloads(spark: SparkSession, d: str) -> DataFrame:
@@ -587,18 +599,26 @@ def c16_catalog_hits(spark, d):
     return storefront.map_hits(io.read_raw_hits(payload)).select("product_id", "title", "price", "original_price", "availability")
 
 
-@query(r"SELECT page_id, length(regexp_replace(html, '(?s)<[^>]*>', '', 'g')) > 0 AS any_text FROM pages")
+ENTITIES_SQL = "replace(replace(replace(replace({t}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(
+    r"WITH t AS (SELECT page_id, regexp_replace(coalesce(html, ''), '(?s)<[^>]*>', '', 'g') AS t FROM pages), "
+    + "e AS (SELECT page_id, " + ENTITIES_SQL.format(t="t") + " AS t FROM t) "
+    + r"SELECT page_id, sha256(regexp_replace(regexp_replace(t, '[ \t\n\r\f\x0B]+', ' ', 'g'), '^ | $', '', 'g')) AS text_sha256 FROM e"
+)
 def c4_html_text(spark, d):
-    return table(spark, d, "pages").select("page_id", (F.length(html_text(F.col("html"))) > 0).alias("any_text"))
+    """The whole text of each page, by its digest; the pages hold these four entities."""
+    return table(spark, d, "pages").select("page_id", F.sha2(html_text(F.col("html")), 256).alias("text_sha256"))
 
 
-@query("SELECT 's' || (p_partkey % 5) AS source, CASE WHEN p_partkey % 7 = 0 THEN 'sitemap' ELSE 'product' END AS kind, count(*) AS n FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 2 = 0 GROUP BY 1, 2")
+@query("SELECT 's' || (p_partkey % 5) AS source, CASE WHEN p_partkey % 7 = 0 THEN 'sitemap' ELSE 'product' END AS kind, CASE WHEN p_partkey % 7 = 0 THEN 'http://a/' || p_partkey || '.xml' ELSE 'http://a/product/' || p_partkey END AS loc FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 2 = 0")
 def c17_sitemap_urls(spark, d):
     k = F.col("p_partkey")
     loc = F.when(k % 7 == 0, F.concat(F.lit("http://a/"), k.cast("string"), F.lit(".xml"))).when(k % 2 == 0, F.concat(F.lit("http://a/product/"), k.cast("string"))).otherwise("http://a/about")
     pages = table(spark, d, "part").select(F.concat(F.lit("s"), (k % 5).cast("string")).alias("source"), k.alias("position"), F.concat(F.lit("<urlset><loc> "), loc, F.lit("</loc></urlset>")).alias("html"))
     stores = pages.select("source").distinct().withColumn("product_pattern", F.lit("/product/"))
-    return links.sitemap_urls(pages, stores).groupBy("source", "kind").agg(F.count("*").alias("n"))
+    return links.sitemap_urls(pages, stores).select("source", "kind", "loc")
 
 
 @query("SELECT url AS source, CAST(1 AS INTEGER) AS at, url || '/map.xml' AS url FROM pages")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,14 +33,13 @@ def is_fashion(*sources: Column, strict: bool = False) -> Column:
 def color(value: Column) -> Column:
     """The known colour named first; unknown ones in title case."""
 
+    names = {s: name for name, synonyms in reversed(rules.COLORS) for s in reversed(synonyms)}
+    # the leftmost match wins, and of several at one place the alternative that comes first in the table
+    pattern = "(" + "|".join(re.escape(s) for _, synonyms in rules.COLORS for s in synonyms) + ")"
+    known = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+
     def pick(v: Column) -> Column:
-        low, places, n = F.lower(v), [], 0
-        for name, synonyms in rules.COLORS:
-            for s in synonyms:
-                places.append(F.struct(F.locate(s, low).alias("at"), F.lit(n).alias("order"), F.lit(name).alias("name")))
-                n += 1
-        first = F.array_min(F.filter(F.array(*places), lambda p: p["at"] > 0))
-        return F.coalesce(first["name"], title_case(v))
+        return F.coalesce(F.try_element_at(known, F.regexp_extract(F.lower(v), pattern, 1)), title_case(v))
 
     return bound(strip(F.coalesce(value, F.lit(""))), pick)
 

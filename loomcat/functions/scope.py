@@ -28,13 +28,28 @@ def scope_label(primary: Column, description: Column) -> Column:
     return F.coalesce(first, second, F.lit("out_of_scope"))
 
 
+def scope_of(label: Column) -> Column:
+    """The scope struct of a label; null for a null label."""
+    inside = label.isin("footwear", "clothing")
+    return F.when(label.isNotNull(), F.struct(inside.alias("is_supported"), F.when(inside, label).alias("scope_type"), F.when(~inside, label).alias("rejection_reason")))
+
+
 def classify(category: Column, subcategory: Column, title: Column, breadcrumbs: Column, tags: Column, description: Column) -> Column:
     """the scope struct. breadcrumbs and tags are arrays; any source may be null."""
+    return bound(label_of(category, subcategory, title, breadcrumbs, tags, description), scope_of)
+
+
+def label_of(category: Column, subcategory: Column, title: Column, breadcrumbs: Column, tags: Column, description: Column) -> Column:
+    """The label of the same sources."""
     text = lambda a: F.array_join(a, " ")
-    label = scope_label(_joined(category, subcategory, title, text(breadcrumbs), text(tags)), description)
-    return bound(label, lambda x: F.struct(x.isin("footwear", "clothing").alias("is_supported"), F.when(x.isin("footwear", "clothing"), x).alias("scope_type"), F.when(~x.isin("footwear", "clothing"), x).alias("rejection_reason")))
+    return scope_label(_joined(category, subcategory, title, text(breadcrumbs), text(tags)), description)
 
 
 def classify_record() -> Column:
     """the scope of a canonical product row."""
-    return classify(F.col("category"), F.col("subcategory"), F.col("title"), F.col("attributes.breadcrumbs"), F.col("attributes.tags"), F.col("description"))
+    return bound(record_label(), scope_of)
+
+
+def record_label() -> Column:
+    """The label of a canonical product row."""
+    return label_of(F.col("category"), F.col("subcategory"), F.col("title"), F.col("attributes.breadcrumbs"), F.col("attributes.tags"), F.col("description"))

@@ -53,7 +53,14 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def first_rule(text: Column, rules: Iterable[tuple[str, Iterable[str]]], otherwise: Column) -> Column:
-    """The name of the first rule whose keywords text holds."""
+    """The name of the first rule whose keywords text holds. One scan for any keyword of any rule goes
+    first, so a text without keywords is not scanned once for each rule."""
+    rules = [(name, list(words)) for name, words in rules]
+    chain = _chain(text, rules, otherwise)
+    return F.when(keyword_match(text, dict.fromkeys(w for _, words in rules for w in words)), chain).otherwise(otherwise)
+
+
+def _chain(text: Column, rules: Iterable[tuple[str, Iterable[str]]], otherwise: Column) -> Column:
     chain = None
     for name, words in rules:
         hit = keyword_match(text, words)
@@ -73,7 +80,7 @@ def title_case(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """HTML entities decoded, in Arrow batches: Spark has no such function."""
+    """HTML entities decoded, in Arrow batches: Spark has no such function. Texts without ``&`` stay in the JVM."""
 
     @F.pandas_udf("string")
     def decode(texts: pd.Series) -> pd.Series:
@@ -81,7 +88,7 @@ def decode_entities(text: Column) -> Column:
 
         return texts.map(html.unescape, na_action="ignore")
 
-    return decode(text)
+    return F.coalesce(decode(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
 def html_text(markup: Column) -> Column:

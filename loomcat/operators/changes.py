@@ -15,9 +15,15 @@ def content_hash() -> Column:
 
 
 def detect_changes(previous: DataFrame, current: DataFrame, key: str = "product_id", hash_col: str = "content_hash") -> DataFrame:
-    """H2: (key, change) with new, updated, unchanged or removed; empty ids are skipped. Both sides have
-    one row for each id."""
-    side = lambda df, c: df.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, F.coalesce(F.col(hash_col), F.lit("")).alias(c))
+    """H2: (key, change) with new, updated, unchanged or removed; empty ids are skipped. Both sides have one row for
+    each id. A hash that is missing or empty is computed where the side has the hashed columns."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        value = F.nullif(F.col(hash_col), F.lit("")) if hash_col in df.columns else F.lit(None).cast("string")
+        if {*HASHED, "variants"} <= set(df.columns):
+            value = F.coalesce(value, content_hash())
+        return df.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, F.coalesce(value, F.lit("")).alias(name))
+
     both = side(previous, "was").join(side(current, "now"), key, "full_outer")
     change = F.when(F.col("was").isNull(), "new").when(F.col("now").isNull(), "removed").when(F.col("was") != F.col("now"), "updated").otherwise("unchanged")
     return both.select(key, change.alias("change"))
@@ -41,12 +47,12 @@ def update_state(state: DataFrame, records: DataFrame) -> DataFrame:
     return merged.join(marks.groupBy("source").agg(F.max("mark").alias("high_water")), "source", "left")
 
 
-def calculate_delta(old: DataFrame, new: DataFrame, keys: tuple[str, ...], hash_col: str, order: str | None = None) -> DataFrame:
+def calculate_delta(old: DataFrame, new: DataFrame, keys: tuple[str, ...], hash_col: str, order: str) -> DataFrame:
     """H5: the rows of new with ``change`` new, updated or unchanged, and the keys of old that are gone with
     ``change`` deleted. Keys compare null-safe, rows whose first key is empty are skipped, a missing hash counts as empty.
     Of repeated old keys the last by ``order`` counts; each repeated new row is told apart."""
     some = lambda df: df.where(F.coalesce(F.col(keys[0]).cast("string"), F.lit("")) != "")
-    last = F.max_by(F.coalesce(F.col(hash_col), F.lit("")), order) if order else F.max(F.coalesce(F.col(hash_col), F.lit("")))
+    last = F.max_by(F.coalesce(F.col(hash_col), F.lit("")), order)
     was = some(old).groupBy(*keys).agg(last.alias("_was")).select(*(F.col(k).alias(f"_{k}") for k in keys), "_was")
     now = some(new).withColumn("_now", F.coalesce(F.col(hash_col), F.lit("")))
     on = F.lit(True)

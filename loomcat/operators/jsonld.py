@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcat.functions import ids
@@ -10,7 +10,13 @@ from loomcat.functions import normalize as N
 from loomcat.functions.text import bound, decode_entities, html_text, strip
 from loomcat.sources import schema
 
-SCRIPT = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
+#: A script element with its attributes and its content; the type is looked for among the attributes.
+ELEMENT = r"(?is)<script\b([^>]*)>(.*?)</script\s*>"
+LINKED_DATA = r"""(?i)\btype\s*=\s*["']?\s*application/ld\+json\b"""
+#: Stands between texts that are decoded together; URLs do not hold it.
+SEPARATOR = "\u001f"
+#: Levels of lists and @graph members that are followed below a payload.
+DEPTH = 4
 
 
 def get(node: Column, path: str, kind: str = "string") -> Column:
@@ -24,21 +30,48 @@ def nodes_of(value: Column) -> Column:
     return F.when(many.isNotNull(), many).when(value.isNotNull() & ~F.is_variant_null(value), F.array(one)).otherwise(F.expr("cast(array() as array<variant>)"))
 
 
+def payloads(html: Column) -> Column:
+    """The (block, payload) of each JSON-LD script of a page that can be parsed, in order."""
+    inner = F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(2))
+    kinds = F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(1))
+    found = F.filter(F.zip_with(kinds, inner, lambda k, raw: F.when(k.rlike(LINKED_DATA), raw)), lambda raw: raw.isNotNull())
+    numbered = F.transform(found, lambda raw, i: F.struct(i.alias("block"), F.try_parse_json(F.trim(raw)).alias("payload")))
+    return F.filter(numbered, lambda b: b["payload"].isNotNull())
+
+
 def blocks(pages: DataFrame) -> DataFrame:
     """(source, url, block, payload) of each parsable JSON-LD script."""
-    found = pages.select("source", "url", F.posexplode(F.regexp_extract_all("html", F.lit(SCRIPT), F.lit(1))).alias("block", "raw"))
-    return found.select("source", "url", "block", F.try_parse_json(F.trim("raw")).alias("payload")).where("payload IS NOT NULL")
+    return pages.select("source", "url", F.explode(payloads(F.col("html"))).alias("b")).select("source", "url", "b.block", "b.payload")
+
+
+def nodes_in(value: Column, in_graph: Column | None = None, depth: int = DEPTH) -> Column:
+    """The objects of a payload as (node, graph), in reading order: elements of lists and members of @graph, members before
+    their wrapper. graph: a member of the @graph of a top-level object. Lists and graphs are followed DEPTH levels deep."""
+    inside = F.lit(False) if in_graph is None else in_graph
+
+    def of(entry: Column) -> Column:
+        own = F.when(F.schema_of_variant(entry).startswith("OBJECT"), F.array(F.struct(entry.alias("node"), inside.alias("graph"))))
+        none = F.expr("cast(array() as array<struct<node:variant,graph:boolean>>)")
+        if not depth:
+            return F.coalesce(own, none)
+        graph = get(entry, '$["@graph"]', "variant")
+        is_list = F.schema_of_variant(entry).startswith("ARRAY")
+        below = F.when(is_list, entry).when(F.schema_of_variant(graph).startswith("ARRAY"), graph)
+        members = F.when(below.isNotNull(), nodes_in(below, inside | ~is_list, depth - 1))
+        return F.concat(F.coalesce(members, none), F.coalesce(own, none))
+
+    return F.flatten(F.transform(nodes_of(value), of))
+
+
+def page_nodes(html: Column) -> Column:
+    """All nodes of a page as (block, at, node, graph), without leaving its row."""
+    each = F.transform(payloads(html), lambda b: F.transform(nodes_in(b["payload"]), lambda n, i: F.struct(b["block"].alias("block"), i.alias("at"), n["node"].alias("node"), n["graph"].alias("graph"))))
+    return F.flatten(each)
 
 
 def nodes(parsed: DataFrame) -> DataFrame:
-    """(source, url, block, at, node): list elements and @graph members, members before their wrapper,
-    for a list of wrappers of a list (three levels)."""
-    top = parsed.select("source", "url", "block", F.posexplode_outer(get(F.col("payload"), "$", "array<variant>")).alias("i", "entry"), "payload")
-    entries = top.select("source", "url", "block", F.coalesce("i", F.lit(0)).alias("i"), F.coalesce("entry", "payload").alias("entry"))
-    graph = entries.select("source", "url", "block", "i", F.posexplode(get(F.col("entry"), '$["@graph"]', "array<variant>")).alias("j", "node"))
-    own = entries.select("source", "url", "block", "i", F.lit(1 << 30).alias("j"), F.col("entry").alias("node"))
-    both = graph.unionByName(own).where(F.schema_of_variant("node").startswith("OBJECT"))
-    return both.select("source", "url", "block", F.struct("i", "j").alias("at"), "node")
+    """(source, url, block, at, node, graph) of each object of the payloads (source, url, block, payload)."""
+    return parsed.select("source", "url", "block", F.posexplode(nodes_in(F.col("payload"))).alias("at", "n")).select("source", "url", "block", "at", "n.node", "n.graph")
 
 
 def has_type(node: Column, name: str) -> Column:
@@ -51,16 +84,20 @@ def is_group(node: Column) -> Column:
     return has_type(node, "productgroup") | F.coalesce(F.size(get(node, "$.hasVariant", "array<variant>")) > 0, F.lit(False))
 
 
-def find(nodes_df: DataFrame, mode: str = "product_or_group") -> DataFrame:
-    """One node for each page. ``product``: the first Product; ``product_or_group``: the first group
-    at any place, else the first Product; ``graph``: the first Product of a top-level @graph."""
-    group, product = is_group(F.col("node")), has_type(F.col("node"), "product")
+def chosen(many: Column, mode: str = "product_or_group") -> Column:
+    """The one of a page's nodes that a mode wants, null if there is none."""
+    product = lambda n: has_type(n["node"], "product")
     if mode == "product_or_group":
-        wanted = nodes_df.withColumn("rank", F.when(group, 0).when(product, 1)).where("rank IS NOT NULL")
-    else:
-        wanted = nodes_df.withColumn("rank", F.lit(0)).where(product & (F.lit(mode == "product") | (F.col("at.j") < 1 << 30)))
-    first = Window.partitionBy("source", "url").orderBy("rank", "block", "at")
-    return wanted.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n", "rank")
+        return F.coalesce(F.get(F.filter(many, lambda n: is_group(n["node"])), 0), F.get(F.filter(many, product), 0))
+    return F.get(F.filter(many, (lambda n: product(n) & n["graph"]) if mode == "graph" else product), 0)
+
+
+def find(pages: DataFrame, mode: str = "product_or_group") -> DataFrame:
+    """(source, url, node), one node for each page (source, url, html) that has one. ``product``: the first Product;
+    ``product_or_group``: the first group at any place, else the first Product; ``graph``: the first Product of a @graph.
+    All nodes of a page come from its row, so nothing is shuffled."""
+    listed = pages.select("source", "url", F.explode(F.array(page_nodes(F.col("html")))).alias("many"))
+    return listed.select("source", "url", chosen(F.col("many"), mode).alias("found")).where("found IS NOT NULL").select("source", "url", "found.node")
 
 
 def texts(value: Column) -> Column:
@@ -81,8 +118,7 @@ def images(value: Column) -> Column:
 
 def decoded_list(values: Column) -> Column:
     """Entities decoded in each text (joined by a separator that URLs do not hold), then D9."""
-    sep = "\u001f"
-    return N.clean_list(F.split(decode_entities(F.array_join(values, sep)), sep))
+    return N.clean_list(F.split(decode_entities(F.array_join(values, SEPARATOR)), SEPARATOR))
 
 
 def availability(text: Column) -> Column:
@@ -183,10 +219,14 @@ def map_group(found: DataFrame, currency: str = "EGP", normalize_keys: bool = Fa
         "parts",
         lambda v, i: F.struct(
             i.alias("i"), offers(v).alias("offer"), F.nullif(strip(get(v, "$.sku")), F.lit("")).alias("sku"), gtin(v).alias("gtin"),
-            F.nullif(get(v, "$.color"), F.lit("")).alias("color"), N.clean_list(images(get(v, "$.image", "variant"))).alias("images"),
+            F.nullif(get(v, "$.color"), F.lit("")).alias("color"), images(get(v, "$.image", "variant")).alias("raw_images"),
         ),
     )
-    some = some.withColumn("read", read)
+    # the variants' images of a row are decoded together: a text a variant, cut apart again
+    between = "\u001e"
+    listed = F.array_join(F.transform(F.col("read"), lambda r: F.array_join(r["raw_images"], SEPARATOR)), between)
+    some = some.withColumn("read", read).withColumn("decoded", F.split(decode_entities(listed), between))
+    some = some.withColumn("read", F.zip_with("read", "decoded", lambda r, d: r.withField("images", N.clean_list(F.split(d, SEPARATOR)))))
     variants = F.transform(
         "read",
         lambda r: schema.variant(
@@ -214,5 +254,5 @@ def map_group(found: DataFrame, currency: str = "EGP", normalize_keys: bool = Fa
 
 def map_pages(pages: DataFrame, currency: str = "EGP") -> DataFrame:
     """Pages (source, url, html) to canonical rows, groups and plain products alike."""
-    found = find(nodes(blocks(pages)))
+    found = find(pages)
     return map_product(found.where(~is_group(F.col("node"))), currency).unionByName(map_group(found.where(is_group(F.col("node"))), currency))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from loomcat.functions.text import strip, title_case
 
-from .changes import calculate_delta
-
 KEYS = ("product_url", "color")
 
 
@@ -31,16 +29,21 @@ def color_entries(products: DataFrame) -> DataFrame:
     return named.withColumn("data_hash", offer_hash(F.col("title"), F.col("price"), F.col("image_url"), F.col("color")))
 
 
-def store_rows(entries: DataFrame) -> DataFrame:
-    """H8: the stored form of entries; rows without title, image or price are skipped. vendor falls back to
-    the file's name, category to Clothes."""
+def stored_form(entries: DataFrame) -> DataFrame:
+    """Entries with the columns of the store, and whether they are ``usable`` there: with title, image and price. vendor
+    falls back to the file's name, category to Clothes."""
     stem = title_case(F.replace(F.regexp_replace(F.coalesce("file_name", F.lit("")), r"(_products)?\.[^.]*$", ""), F.lit("_"), F.lit(" ")))
     some = lambda c: F.nullif(strip(F.col(c)), F.lit(""))
     rows = entries.select(
         strip(F.col("title")).alias("name"), F.col("price").try_cast("decimal(18,2)").alias("price"), F.coalesce(some("brand"), some("vendor"), stem).alias("vendor"),
         F.coalesce(some("category"), F.lit("Clothes")).alias("category"), "product_url", F.nullif("color", F.lit("")).alias("color"), "image_url", "image_urls", "data_hash",
     )
-    return rows.where((F.col("name") != "") & (F.col("image_url") != "") & F.col("price").isNotNull())
+    return rows.withColumn("usable", F.coalesce((F.col("name") != "") & (F.col("image_url") != "") & F.col("price").isNotNull(), F.lit(False)))
+
+
+def store_rows(entries: DataFrame) -> DataFrame:
+    """H8: the stored form of the usable entries."""
+    return stored_form(entries).where("usable").drop("usable")
 
 
 def _same(left: str = "l", right: str = "r") -> Column:
@@ -76,13 +79,19 @@ def group_by_source(products: DataFrame) -> DataFrame:
 
 
 def sync(stored: DataFrame, scraped: DataFrame, order: tuple[str, ...] = ("file_name", "seq")) -> tuple[DataFrame, DataFrame]:
-    """(the new snapshot, (change, n) counts). Of repeated scraped keys the first in order counts.
-    For a dry run use the counts alone. stored has the columns of ``store_rows`` without image_urls."""
+    """(the new snapshot, (change, n) counts), both from one full outer join. Of repeated scraped keys the first in
+    order counts. For a dry run use the counts alone. stored: one row a key, columns of ``store_rows`` without image_urls."""
     entries = color_entries(scraped).withColumn("color", F.nullif("color", F.lit("")))
     first = Window.partitionBy(*KEYS).orderBy(*order)
     entries = entries.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    delta = calculate_delta(stored.select(*KEYS, "data_hash"), entries, KEYS, "data_hash")
-    counts = delta.groupBy("change").agg(F.count("*").alias("n"))
-    kept = delete_rows(stored, delta.where(F.col("change").isin("updated", "deleted")))
-    changed = store_rows(delta.where(F.col("change").isin("new", "updated"))).select(*stored.columns)
-    return kept.unionByName(changed), counts
+    now = stored_form(entries).select(*(F.col(c).alias(f"now_{c}") for c in stored.columns), F.col("usable").alias("now_usable"))
+    both = stored.withColumn("was_stored", F.lit(True)).join(now, (F.col("product_url") == F.col("now_product_url")) & F.col("color").eqNullSafe(F.col("now_color")), "full_outer")
+    some = lambda c: F.coalesce(F.col(c), F.lit(""))
+    change = (
+        F.when(F.col("was_stored").isNull(), "new").when(F.col("now_usable").isNull(), "deleted")
+        .when(some("data_hash") != some("now_data_hash"), "updated").otherwise("unchanged")
+    )
+    both = both.withColumn("change", change)
+    fresh = F.col("change").isin("new", "updated")
+    snapshot = both.where((F.col("change") == "unchanged") | (fresh & F.col("now_usable")))
+    return snapshot.select(*(F.when(fresh, F.col(f"now_{c}")).otherwise(F.col(c)).alias(c) for c in stored.columns)), both.groupBy("change").agg(F.count("*").alias("n"))

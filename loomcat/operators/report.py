@@ -77,9 +77,13 @@ def scope_audit(rows: DataFrame) -> DataFrame:
 
 
 def apply_scope(products: DataFrame, path: str) -> None:
-    """Writes the rows in scope, by source; other sources keep their rows."""
+    """Writes the rows in scope, by source; sources without rows here keep theirs. A source whose rows are all out of
+    scope gets a file of one empty line, which readers of JSON Lines skip: its former rows must not stay."""
     kept = products.where("scope.is_supported")
-    kept.write.option("partitionOverwriteMode", "dynamic").partitionBy("source").mode("overwrite").json(path)
+    emptied = products.groupBy("source").agg(F.max(F.coalesce(F.col("scope.is_supported"), F.lit(False))).alias("any")).where("NOT any").select("source")
+    rows = kept.select(F.col("source").alias("store"), F.to_json(F.struct(*kept.columns), {"ignoreNullFields": "false"}).alias("value"))
+    rows = rows.unionByName(emptied.select(F.col("source").alias("store"), F.lit("").alias("value")))
+    rows.write.option("partitionOverwriteMode", "dynamic").partitionBy("store").mode("overwrite").text(path)
 
 
 def status_summary(profiles: DataFrame) -> DataFrame:

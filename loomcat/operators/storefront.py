@@ -101,7 +101,7 @@ def map_products(raw: DataFrame, currency: str = "EGP") -> DataFrame:
     out = some.withColumns({
         "brand": F.col("vendor"), "brand_normalized": F.lower("vendor"), "category": N.category(F.col("product_type"), tags, F.col("title")), "subcategory": strip(F.col("product_type")),
         "gender": N.gender(F.col("product_type"), tags, F.col("title"), F.col("handle")), "currency": F.lit(currency), "image_urls": N.clean_list(F.transform(F.col("p.images"), lambda i: i["src"])),
-        "material": N.materials(tags, F.col("description"), F.col("title")), "colors": N.colors(F.transform("variants", lambda v: v["color"])), "color_images": color_images(F.col("p"), F.col("options")),
+        "material": N.materials(tags, F.col("description"), F.col("title")), "colors": N.colors(F.array_distinct(F.transform("variants", lambda v: v["color"]))), "color_images": color_images(F.col("p"), F.col("options")),
         "sizes": N.clean_list(F.transform("variants", lambda v: v["size"])), "source_updated_at": F.try_to_timestamp("p.updated_at"),
         "attributes": schema.attributes(platform=F.lit("shopify"), platform_product_id=F.col("p.id"), handle=F.col("handle"), product_type=F.col("product_type"), tags=F.col("tags"), variant_count=F.size("variants")),
     })

@@ -1,4 +1,4 @@
-"""The catalog pipeline (G1 to G8): one lazy plan with one shuffle, for the dedup."""
+"""The catalog pipeline (G1 to G8): one lazy plan with one shuffle, for the dedup, which comes before all costly work."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcat.functions import normalize as N
-from loomcat.functions.scope import classify_record
+from loomcat.functions.scope import classify_record, record_label, scope_of
 from loomcat.functions.text import strip
 from loomcat.operators.changes import content_hash
 from loomcat.sources import schema
@@ -72,21 +72,32 @@ def stamp(df: DataFrame) -> DataFrame:
 def classify_rows(raw: DataFrame, stores: DataFrame | None = None, order: tuple[str, ...] = ("scraped_at", "file_name", "seq")) -> DataFrame:
     """G8 as one table: every row with ``reject_stage`` and ``reject_reason``, both null for accepted ones.
 
-    Scope is judged after the dedup, so its counts are of products. stores: (source, require_images).
+    Scope is judged after the dedup, so its counts are of products; later arrivals of a product (a crawl meets each some
+    twenty times) keep the columns as they came and have no scope and no hash. stores: (source, require_images).
     """
-    df = mark_duplicates(backfill_category(normalize_prices(clean(raw))), order)
-    df = add_scope(df)
+    ranked = mark_duplicates(raw, order)  # its exchange serves both branches
+    df = backfill_category(normalize_prices(clean(ranked.where("arrival = 1")))).withColumn("label", record_label())
     if stores is None:
         df = df.withColumn("require_images", F.lit(True))
     else:
         df = df.join(F.broadcast(stores.select("source", "require_images")), "source", "left")
-    df = df.withColumn("missing", invalid(F.coalesce("require_images", F.lit(True))))
-    stage = F.when(F.col("arrival") > 1, "dedup").when(~F.col("scope.is_supported"), "scope").when(F.size("missing") > 0, "validate")
-    reason = F.when(F.col("arrival") > 1, "duplicate").when(~F.col("scope.is_supported"), F.col("scope.rejection_reason")).when(F.size("missing") > 0, F.array_join("missing", ","))
-    return stamp(df).withColumns({"reject_stage": stage, "reject_reason": reason}).drop("arrival", "require_images", "missing")
+    df = df.withColumn("missing", F.array_join(invalid(F.coalesce("require_images", F.lit(True))), ","))
+    out = ~F.col("label").isin("footwear", "clothing")
+    stage = F.when(out, "scope").when(F.col("missing") != "", "validate")
+    reason = F.when(out, F.col("label")).when(F.col("missing") != "", F.col("missing"))
+    judged = stamp(df).withColumns({"reject_stage": stage, "reject_reason": reason}).drop("require_images", "missing")
+    later = ranked.where("arrival > 1").withColumns({"label": F.lit(None).cast("string"), "reject_stage": F.lit("dedup"), "reject_reason": F.lit("duplicate")})
+    # the struct is made above the union: one made below it is taken apart there
+    return judged.unionByName(later).withColumn("scope", scope_of(F.col("label"))).drop("arrival", "label")
+
+
+def map_errors(mapped: DataFrame) -> DataFrame:
+    """The rows that no product id could be made for (no merchant, or neither platform id, handle nor URL), with the
+    reason; the dedup leaves them out."""
+    return mapped.where(F.coalesce("product_id", F.lit("")) == "").withColumns({"reject_stage": F.lit("map"), "reject_reason": F.lit("no product id")})
 
 
 def run_pipeline(raw: DataFrame, stores: DataFrame | None = None, order: tuple[str, ...] = ("scraped_at", "file_name", "seq")) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows in canonical order, rejected rows with stage and reason)."""
+    """(accepted rows in canonical order, rejected rows with stage and reason). Rows without an id are in neither: see map_errors."""
     rows = classify_rows(raw, stores, order)
     return schema.ordered(rows.where("reject_stage IS NULL")), rows.where("reject_stage IS NOT NULL")

@@ -27,9 +27,11 @@ STATE_DDL = "source string, product_id string, content_hash string, first_seen t
 
 
 def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
-    """A1: all ``*_products.json`` array files, with file_name; order is by file_name where it matters."""
-    df = spark.read.schema(schema.PRODUCT_DDL).option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{folder.rstrip('/')}/*_products.json")
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    """A1: all ``*_products.json`` array files, with file_name; order is by file_name where it matters. A file that
+    holds no list, or is no JSON, is skipped."""
+    files = spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/*_products.json").select("value", F.col("_metadata.file_name").alias("file_name"))
+    lists = files.where(F.col("value").rlike(r"^\s*\[")).select(F.explode(F.from_json("value", f"array<struct<{schema.PRODUCT_DDL.replace(' ', ':').replace(',:', ',')}>>")).alias("p"), "file_name")
+    return lists.where("p IS NOT NULL").select("p.*", "file_name")
 
 
 def read_jsonl(spark: SparkSession, path: str, ddl: str = schema.PRODUCT_DDL) -> DataFrame:
@@ -58,9 +60,9 @@ def read_raw_hits(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 
 def write_catalog(products: DataFrame, path: str) -> None:
-    """JSON Lines by source. A source without rows in this run keeps what it had."""
-    named = schema.ordered(products)
-    named.write.option("partitionOverwriteMode", "dynamic").partitionBy("source").mode("overwrite").json(path)
+    """JSON Lines in a folder for each source, nulls written out. A source without rows in this run keeps what it had."""
+    named = schema.ordered(products).withColumn("store", F.col("source"))
+    named.write.option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).partitionBy("store").mode("overwrite").json(path)
 
 
 def read_written_catalog(spark: SparkSession, path: str) -> DataFrame:

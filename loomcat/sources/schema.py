@@ -32,7 +32,7 @@ NAMES = tuple(f for f, _, _ in FIELDS)
 PRODUCT_DDL = ", ".join(f"{f} {kind}" for f, kind, _ in FIELDS)
 
 REQUIRED = ("title", "price", "image_urls", "product_url")
-VARIANT_DEFAULTS = {"currency": "EGP"}
+VARIANT_DEFAULTS = {"variant_id": "", "currency": "EGP"}
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
@@ -42,6 +42,8 @@ def with_defaults(df: DataFrame) -> DataFrame:
     out = []
     for name, kind, default in FIELDS:
         value = F.col(name).cast(kind) if name in have else F.lit(None).cast(kind)
+        if name == "variants" and name in have:
+            value = with_variant_defaults(value)
         out.append((F.coalesce(value, F.expr(default).cast(kind)) if default else value).alias(name))
     return df.select(*out)
 
@@ -56,6 +58,12 @@ def variant(**fields: Column) -> Column:
     return F.struct(*out)
 
 
+def with_variant_defaults(variants: Column) -> Column:
+    """B2 for variants that were read: each field that has a default gets it where it is null; null elements go."""
+    filled = lambda v: v.withField("variant_id", F.coalesce(v["variant_id"], F.lit(VARIANT_DEFAULTS["variant_id"]))).withField("currency", F.coalesce(v["currency"], F.lit(VARIANT_DEFAULTS["currency"])))
+    return F.transform(F.filter(variants, lambda v: v.isNotNull()), filled)
+
+
 def attributes(**fields: Column) -> Column:
     """The attributes struct of the given fields, the others null."""
     kinds = T.StructType.fromDDL("a " + ATTRIBUTES_DDL)[0].dataType.fields

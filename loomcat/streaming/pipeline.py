@@ -2,31 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loomcat.operators.changes import update_state
 from loomcat.plans import stages
 from loomcat.sources import io, schema
 
 
-def streaming_pipeline(raw: DataFrame, watermark: str | None = None) -> DataFrame:
+def streaming_pipeline(raw: DataFrame, watermark: str | None = None, stores: DataFrame | None = None) -> DataFrame:
     """K1: accepted products of a stream of canonical rows. Each product id passes once: for ever (state
-    grows with the ids), or with a watermark on scraped_at within its delay (state is bounded)."""
-    df = stages.backfill_category(stages.normalize_prices(stages.clean(raw))).where(F.coalesce("product_id", F.lit("")) != "")
+    grows with the ids), or with a watermark on scraped_at within its delay (state is bounded). stores: a static
+    (source, require_images) as in the batch pipeline."""
+    df = raw.where(F.coalesce("product_id", F.lit("")) != "")
     df = df.withWatermark("scraped_at", watermark).dropDuplicatesWithinWatermark(["product_id"]) if watermark else df.dropDuplicates(["product_id"])
+    df = stages.backfill_category(stages.normalize_prices(stages.clean(df)))
     df = stages.add_scope(df).where("scope.is_supported")
-    return schema.ordered(stages.stamp(df.where(F.size(stages.invalid(F.lit(True))) == 0)))
+    needed = F.lit(True)
+    if stores is not None:
+        df = df.join(F.broadcast(stores.select("source", "require_images")), "source", "left")
+        needed = F.coalesce("require_images", F.lit(True))
+    return schema.ordered(stages.stamp(df.where(F.size(stages.invalid(needed)) == 0)))
 
 
 def upsert_state(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """K2: keeps the crawl state at path up to date. Each batch writes a new version beside the last, so
-    a batch that is retried begins from the same state."""
+    """K2: keeps the crawl state at path up to date as a log: each batch writes its own products, one row each, under
+    ``batch=<n>`` and nothing else, so its cost does not grow with the state, and a batch that is retried writes over itself."""
 
     def apply(batch: DataFrame, n: int) -> None:
-        state = io.read_state(batch.sparkSession, f"{path}/version={n - 1}") if n else io.read_state(batch.sparkSession, f"{path}/none")
-        last = batch.groupBy("source", "product_id").agg(F.max_by(F.struct("content_hash", "first_seen", "last_seen", "scraped_at", "source_updated_at"), "scraped_at").alias("r")).select("source", "product_id", "r.*")
-        update_state(state, last).write.mode("overwrite").parquet(f"{path}/version={n}")
+        last = F.max_by(F.struct("content_hash", "source_updated_at"), F.struct("scraped_at", "content_hash"))
+        seen = F.coalesce("last_seen", "scraped_at")
+        some = batch.where(F.coalesce("product_id", F.lit("")) != "")
+        rows = some.groupBy("source", "product_id").agg(last.alias("r"), F.min(F.coalesce("first_seen", seen)).alias("first_seen"), F.max(seen).alias("last_seen"), F.max("source_updated_at").alias("high_water"))
+        rows.select("source", "product_id", "r.content_hash", "first_seen", "last_seen", "high_water").write.mode("overwrite").parquet(f"{path}/batch={n}")
 
     return records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current_state(spark: SparkSession, path: str, base: DataFrame | None = None) -> DataFrame:
+    """The state that a log holds: of each product the last batch's hash, the first and the last sight, and its source's
+    high-water mark. base: a state that the log continues (to compact a log, write its state and go on from there)."""
+    try:
+        log = spark.read.schema(f"{io.STATE_DDL}, batch bigint").parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        log = spark.createDataFrame([], f"{io.STATE_DDL}, batch bigint")
+    if base is not None:
+        log = log.unionByName(base.withColumn("batch", F.lit(-1).cast("long")))
+    merged = log.groupBy("source", "product_id").agg(
+        F.max_by("content_hash", "batch").alias("content_hash"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("high_water").alias("mark")
+    )
+    marks = merged.groupBy("source").agg(F.max("mark").alias("high_water"))
+    return merged.drop("mark").join(marks, "source", "left").select("source", "product_id", "content_hash", "first_seen", "last_seen", "high_water")

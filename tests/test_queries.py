@@ -4,13 +4,16 @@ import pytest
 from conftest import SMALL
 
 from loomcat import catalog_queries as C
+from loomcat import step_queries as S
 
+QUERIES, ORACLE = C.QUERIES | S.QUERIES, C.ORACLE | S.ORACLE
 
-@pytest.mark.parametrize("name", sorted(C.QUERIES))
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, same, name):
-    got = C.QUERIES[name](spark, SMALL)
-    if name in C.ORACLE:
-        same(got, duck.sql(C.ORACLE[name]))
+    got = QUERIES[name](spark, SMALL)
+    if name in ORACLE:
+        same(got, duck.sql(ORACLE[name]))
     else:
         assert got.count() > 0
 
