@@ -598,10 +598,10 @@ def test_lines_recall(spark):
 def brute_blocks(norm):
     """The two longs of each block by counting bit by bit; None where a class has eight words or more."""
     x = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in dict.fromkeys(norm.split(" "))]
-    level = max(2, int(np.floor(np.log2(len(x) / 4))))
+    level = max(2, int(np.floor(np.log2(len(x) / 4)))) if len(x) >= lines.FEW_WORDS else 0
     out = {}
     for j in range(lines.BLOCKS):
-        own = [h >> 3 for h in x if h & ((1 << level) - 1) == j]
+        own = [h >> 3 for h in x if (h & ((1 << level) - 1) if level else (h - (h >> 63 << 64)) % lines.BLOCKS) == j]
         bits = [sum(1 << (3 * i + 2) for i in range(20) if 2 * sum(h >> (s + 3 * i) & 1 for h in own) > len(own)) for s in lines.SHIFTS]
         out[j] = bits if len(own) < 8 else None
     return level, out
@@ -629,7 +629,7 @@ def test_edit_similarity(spark):
         w = [f"{rng.choice('abcdef')}{rng.randrange(500)}" for _ in range(rng.choice([1, 4, 12, 70, 130]))]
         v = [x if rng.random() > 0.2 else rng.choice([x[::-1], f"q{rng.randrange(99)}"]) for x in w if rng.random() > 0.05]
         pairs.append((" ".join(w), " ".join(v) or "x"))
-    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", lines.edit_similar(F.col("a"), F.col("b")).alias("yes")).collect()
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", lines.in_units(F.col("a"), F.col("b")).alias("u")).select("a", "b", lines.within_a_fifth(F.col("u.x"), F.col("u.y")).alias("yes")).collect()
     assert [r.yes for r in got] == [edit_similar(r.a, r.b) for r in got] and 20 < sum(r.yes for r in got) < 140
 
 
