@@ -1,29 +1,14 @@
-"""The folder that driver and executors share, and tables written into it to cut lineage."""
+"""Tables written into the folder that driver and executors share, to cut lineage; names; the package for the workers."""
 
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where that is unset (tests, a laptop), a new
-    temporary folder, which is then also set as the checkpoint folder."""
-    sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_loomcat_dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(at)
-        sc._loomcat_dir = at
-    return at
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/loomcat-{name}-{uuid.uuid4().hex}"
+from loomcat.sources.folder import new_path, shared_dir
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
