@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .graph import bitmap, components, in_bitmap
 from .shared import fresh, written
-from .textops import U64, Ranges, Words, mix, pieces
+from .textops import U64, Ranges, Words, give_back, mix, pieces
 
 HOT = 64
 SKETCH_BITS = 23
@@ -134,6 +134,7 @@ def set_rows(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray | None
                      _lists([_prefix(s, hot, num, den) for s in sets]), _lists(list(np.stack(key, 1))), pa.array(parity, pa.binary())],
                     ["id", "n", "k1", "k2", "h", "prefix", "keys", "parity"],
                 )
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
@@ -159,6 +160,8 @@ def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
             if part.any():
                 planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)  # high bytes are mostly zero
                 yield pa.RecordBatch.from_arrays([pa.array([j], pa.int64()), pa.array([zstandard.ZstdCompressor(3).compress(planes.tobytes())], pa.binary())], ["segment", "counts"])
+        counts = None
+        give_back()
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
@@ -178,21 +181,21 @@ def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
 
 
 def shared_entries(sets: DataFrame, shared: np.ndarray) -> DataFrame:
-    """(id, n, pos, token) of the prefix tokens in the bitmap."""
+    """(id, n, root, pos, token) of the prefix tokens in the bitmap; sets: (id, n, root, prefix)."""
     bits = sets.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(3)
             of = pa.compute.list_parent_indices(lists).to_numpy()
             flat = np.asarray(lists.flatten())
             size = np.bincount(of, minlength=batch.num_rows)
             pos = np.arange(len(flat)) - (np.cumsum(size) - size)[of]
             keep = in_bitmap(bits.value, flat.view(U64))
             take = pa.array(of[keep])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(pos[keep].astype(np.int32)), pa.array(flat[keep])], ["id", "n", "pos", "token"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(3)), pa.array(pos[keep].astype(np.int32)), pa.array(flat[keep])], ["id", "n", "root", "pos", "token"])
 
-    return sets.select("id", F.col("n").cast("int").alias("n"), "prefix").mapInArrow(run, "id long, n int, pos int, token long")
+    return sets.select("id", F.col("n").cast("int").alias("n"), "root", "prefix").mapInArrow(run, "id long, n int, root long, pos int, token long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int, text_col: str) -> DataFrame:
@@ -281,10 +284,10 @@ def clusters(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
     answers = written(overlaps(docs, sets, star, k, text_col).join(star, ["a", "b"]).where(linked), "answers")
     first = written(components(answers.select("a", "b")), "first")
 
-    # index lists in blocks of one component; tokens of a single prefix are left out first
-    tokens = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
-    index = written(shared_entries(sets, bitmap(tokens.where("c > 1"), F.col("token"), TOKEN_BITS)), "index")
-    entries = index.join(first.withColumnRenamed("node", "id"), "id", "left").select("token", F.coalesce("root", "id").alias("root"), "id", "n", "pos")
+    # index lists in blocks of one component; tokens of a single component are left out first
+    rooted = written(sets.select("id", "n", "prefix").join(first.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("root", "id").alias("root"), "prefix"), "rooted")
+    tokens = rooted.select("root", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    entries = written(shared_entries(rooted, bitmap(tokens.where("lo <> hi"), F.col("token"), TOKEN_BITS)), "index")
     blocks = entries.groupBy("token", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("pos"), F.count("*").alias("m"), F.min("id").alias("id"))
     one, two = (blocks.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("root", "lo", "hi", "pos", "m", "id"))) for i in (1, 2))
     reach = (F.lit(den) * F.col("hi1") - F.lit(sides) * F.col("pos1") >= F.lit(num) * F.col("lo2")) & (F.lit(den) * F.col("hi2") - F.lit(sides) * F.col("pos2") >= F.lit(num) * F.col("lo1"))

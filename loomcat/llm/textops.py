@@ -7,6 +7,7 @@ arbitrary byte or word ranges come from one prefix sum of a polynomial modulo 2*
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,6 +165,14 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Itera
         lo = hi
 
 
+def give_back() -> None:
+    """Returns freed memory to the system at the end of a task: the worker process lives on, beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def covered(n: int, starts: np.ndarray, k: int) -> np.ndarray:
     """Which of n words lie in a k-word window that begins at one of starts."""
     step = np.zeros(n + 1, np.int32)
