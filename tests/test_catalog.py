@@ -172,3 +172,55 @@ def test_defaults(spark):
     r = schema.with_defaults(spark.createDataFrame([(None, 1.005, "x")], "title string, price double, other string")).first()
     assert (r.title, r.currency, r.image_urls, r.color_images, r.variants, r.sku) == ("", "EGP", [], {}, [], None)
     assert tuple(r.asDict()) == schema.NAMES
+
+
+def test_missing_hashes_are_computed(spark):
+    old = rows(spark, ("a", "s", "tee", Decimal(5), ["i"], "u", 1), ("b", "s", "tee", Decimal(5), ["i"], "u", 2), ("c", "s", "cap", Decimal(5), ["i"], "u", 3)).drop("seq")
+    new = old.where("product_id <> 'c'").withColumn("title", F.when(F.col("product_id") == "b", "boots").otherwise(F.col("title")))
+    hashed = new.withColumn("content_hash", changes.content_hash())
+    for side in (new, hashed):
+        got = {r.product_id: r.change for r in changes.detect_changes(old, side).collect()}
+        assert got == {"a": "unchanged", "b": "updated", "c": "removed"}
+    bare = spark.createDataFrame([("a", None), ("b", "h")], "product_id string, content_hash string")
+    assert {r.product_id: r.change for r in changes.detect_changes(bare, bare).collect()} == {"a": "unchanged", "b": "unchanged"}
+
+
+def test_delta_takes_the_last_of_repeated_old_rows(spark):
+    old = spark.createDataFrame([("1", "zzz", 1), ("1", "aaa", 2)], "id string, h string, seq int")
+    new = spark.createDataFrame([("1", "aaa", 1)], "id string, h string, seq int")
+    assert [r.change for r in changes.calculate_delta(old, new, ("id",), "h", "seq").collect()] == ["unchanged"]
+
+
+def test_state_log(spark, tmp_path):
+    """A batch that is written again replaces itself; a state goes on from a compacted one."""
+    ddl = "source string, product_id string, content_hash string, first_seen timestamp, last_seen timestamp, high_water timestamp"
+    t = lambda n: F.timestamp_seconds(F.lit(n))
+    row = lambda h, n: spark.range(1).select(F.lit("s").alias("source"), F.lit("p").alias("product_id"), F.lit(h).alias("content_hash"), t(n).alias("first_seen"), t(n).alias("last_seen"), t(n).alias("high_water"))
+    assert row("x", 1).columns == [c.split()[0] for c in ddl.split(", ")]
+    for batch, h, n in ((0, "x", 10), (1, "y", 20), (1, "y", 20)):
+        row(h, n).write.mode("overwrite").parquet(f"{tmp_path}/log/batch={batch}")
+    state = pipeline.current_state(spark, f"{tmp_path}/log")
+    read = lambda df: [(r.content_hash, r.first_seen.timestamp(), r.last_seen.timestamp(), r.high_water.timestamp()) for r in df.collect()]
+    assert [x[0] for x in read(state)] == ["y"] and read(state)[0][2] - read(state)[0][1] == 10
+    row("z", 30).write.parquet(f"{tmp_path}/next/batch=0")
+    after = pipeline.current_state(spark, f"{tmp_path}/next", base=state)
+    assert [x[0] for x in read(after)] == ["z"] and read(after)[0][2] - read(after)[0][1] == 20
+    assert pipeline.current_state(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_jsonld_choice(spark):
+    """A group at any place beats a Product before it; a Product in a nested list or graph is found; other scripts are skipped."""
+    from loomcat.operators import jsonld
+
+    def page(*bodies):
+        return "".join(f"<SCRIPT data-x='1' TYPE=application/ld+json >{b}</SCRIPT>" for b in bodies) + "<script>var type='application/ld+json'</script>"
+
+    pages = [
+        ("a", page('{"@type": "Product", "name": "p"}', '[[{"@type": "ProductGroup", "name": "g"}]]')), ("b", page("junk", '{"@graph": [{"@graph": [{"@type": ["Thing", "PRODUCT"], "name": "deep"}]}]}')),
+        ("c", page('{"@type": "WebPage"}')), ("d", None), ("e", page('{"hasVariant": [{"sku": 1}], "name": "v"}')),
+    ]
+    df = spark.createDataFrame([("s", u, h) for u, h in pages], "source string, url string, html string")
+    names = lambda mode: {r.url: r.name for r in jsonld.find(df, mode).select("url", jsonld.get(F.col("node"), "$.name").alias("name")).collect()}
+    assert names("product_or_group") == {"a": "g", "b": "deep", "e": "v"}
+    assert names("product") == {"a": "p", "b": "deep"} and names("graph") == {"b": "deep"}
+    assert jsonld.map_pages(df.limit(0)).count() == 0
