@@ -5,7 +5,7 @@ from importlib import import_module
 
 from .shared import ship
 
-MODULES = ("chat", "bpe", "quality", "decontaminate", "repeats", "jaccard", "packing", "toxicity", "lines", "warc")
+MODULES = ("chat", "bpe", "quality", "decontaminate", "repeats", "jaccard", "packing", "toxicity", "lines", "warc", "periods", "bestfit", "centroids")
 
 
 def _merged(what: str) -> dict:
