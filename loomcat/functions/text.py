@@ -52,20 +52,72 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def trie_pattern(words: Iterable[str]) -> str:
+    """A pattern for any of the words, by shared beginnings; where several fit, the longest is taken first."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def of(node: dict) -> str:
+        options = [re.escape(c).replace(r"\ ", " ") + of(below) for c, below in sorted(node.items()) if c]
+        if "" in node:
+            options += [""] if options else []
+        return options[0] if len(options) == 1 else f"(?:{'|'.join(options)})" if options else ""
+
+    return of(root)
+
+
+def keyword_hits(text: Column, words: Iterable[str]) -> Column:
+    """At each place of lower-case text the longest keyword that begins there, plural endings included: one scan for all edged
+    keywords, and one for the others if text has their first characters. Matches may overlap, so none hides another that begins elsewhere."""
+    edged, parts = split_words(words)
+    found = []
+    inside = EDGE.replace("^", "", 1)
+    if edged:
+        found.append(F.regexp_extract_all(text, F.lit(f"(?<!{inside})(?=({trie_pattern(edged)}(?:s|es)?)(?!{inside}))"), F.lit(1)))
+    if parts:
+        begins = "[" + "".join(sorted({w[0] for w in parts})) + "]"
+        all_ = F.regexp_extract_all(text, F.lit(f"(?={begins})(?=({trie_pattern(parts)}))"), F.lit(1))
+        found.append(F.when(text.rlike(begins), all_).otherwise(F.array().cast("array<string>")))
+    return F.concat(*found)
+
+
+def _within(hit: str, word: str) -> bool:
+    """Whether word matches at the beginning of a hit."""
+    if not word.isascii():
+        return hit.startswith(word)
+    return any(hit.startswith(w) and (len(hit) == len(w) or not (hit[len(w)].isalnum() or hit[len(w)] == "_")) for w in (word, word + "s", word + "es"))
+
+
+def hit_table(groups: list[list[str]]) -> dict[str, list[int]]:
+    """The numbers of the groups (of words) that each possible hit matches."""
+    words = dict.fromkeys(w for g in groups for w in g)
+    hits = dict.fromkeys(h for w in words for h in ((w, w + "s", w + "es") if w.isascii() else (w,)))
+    return {h: [i for i, g in enumerate(groups) if any(_within(h, w) for w in g)] for h in hits}
+
+
 def first_rule(text: Column, rules: Iterable[tuple[str, Iterable[str]]], otherwise: Column) -> Column:
-    """The name of the first rule whose keywords text holds. One scan for any keyword of any rule goes
-    first, so a text without keywords is not scanned once for each rule."""
+    """The name of the first rule whose keywords text holds: the hits of all rules at once, then the least of their ranks."""
     rules = [(name, list(words)) for name, words in rules]
-    chain = _chain(text, rules, otherwise)
-    return F.when(keyword_match(text, dict.fromkeys(w for _, words in rules for w in words)), chain).otherwise(otherwise)
+    ranks = {h: at[0] for h, at in hit_table([words for _, words in rules]).items()}
+    rank_of = F.create_map(*(F.lit(x) for pair in ranks.items() for x in pair))
+    least = F.array_min(F.transform(keyword_hits(text, [w for _, words in rules for w in words]), lambda h: F.try_element_at(rank_of, h)))
+    return F.coalesce(F.get(F.array(*(F.lit(name) for name, _ in rules)), least), otherwise)
+
+
+def merged_lists(pairs: Column) -> Column:
+    """A map from k to the distinct values of all v of an array of (k, v), keys in the order of their first place: one pass over the pairs."""
+    start = F.expr("cast(map() as map<string,array<string>>)")
 
+    def add(have: Column, p: Column) -> Column:
+        old = F.try_element_at(have, p["k"])
+        new = F.array_distinct(F.concat(F.coalesce(old, F.array().cast("array<string>")), p["v"]))
+        return F.when(old.isNull(), F.map_concat(have, F.create_map(p["k"], new))).otherwise(F.transform_values(have, lambda k, v: F.when(k == p["k"], new).otherwise(v)))
 
-def _chain(text: Column, rules: Iterable[tuple[str, Iterable[str]]], otherwise: Column) -> Column:
-    chain = None
-    for name, words in rules:
-        hit = keyword_match(text, words)
-        chain = F.when(hit, F.lit(name)) if chain is None else chain.when(hit, F.lit(name))
-    return chain.otherwise(otherwise)
+    return F.aggregate(pairs, start, add)
 
 
 def strip(text: Column) -> Column:

@@ -14,15 +14,18 @@ def content_hash() -> Column:
     return F.sha2(F.to_json(F.struct(*HASHED, parts.alias("variants")), {"ignoreNullFields": "false"}), 256)
 
 
+def known_hash(df: DataFrame, hash_col: str = "content_hash") -> Column:
+    """The hash of df's rows: the given one, or where that is missing or empty the computed one, if df has the hashed columns; else null."""
+    value = F.nullif(F.col(hash_col), F.lit("")) if hash_col in df.columns else F.lit(None).cast("string")
+    return F.coalesce(value, content_hash()) if {*HASHED, "variants"} <= set(df.columns) else value
+
+
 def detect_changes(previous: DataFrame, current: DataFrame, key: str = "product_id", hash_col: str = "content_hash") -> DataFrame:
     """H2: (key, change) with new, updated, unchanged or removed; empty ids are skipped. Both sides have one row for
     each id. A hash that is missing or empty is computed where the side has the hashed columns."""
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        value = F.nullif(F.col(hash_col), F.lit("")) if hash_col in df.columns else F.lit(None).cast("string")
-        if {*HASHED, "variants"} <= set(df.columns):
-            value = F.coalesce(value, content_hash())
-        return df.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, F.coalesce(value, F.lit("")).alias(name))
+        return df.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, F.coalesce(known_hash(df, hash_col), F.lit("")).alias(name))
 
     both = side(previous, "was").join(side(current, "now"), key, "full_outer")
     change = F.when(F.col("was").isNull(), "new").when(F.col("now").isNull(), "removed").when(F.col("was") != F.col("now"), "updated").otherwise("unchanged")
@@ -37,9 +40,9 @@ def change_summary(changes: DataFrame) -> DataFrame:
 
 def update_state(state: DataFrame, records: DataFrame) -> DataFrame:
     """H4: (source, product_id, content_hash, first_seen, last_seen, high_water). Removed ids stay; high_water is the
-    source's latest source_updated_at so far. records: one row for each id."""
+    source's latest source_updated_at so far. A record without a hash gets the computed one. records: one row for each id."""
     seen = F.coalesce("last_seen", "scraped_at")
-    now = records.where(F.coalesce("product_id", F.lit("")) != "").select("source", "product_id", F.col("content_hash").alias("hash"), F.coalesce("first_seen", seen).alias("first"), seen.alias("last"))
+    now = records.where(F.coalesce("product_id", F.lit("")) != "").select("source", "product_id", known_hash(records).alias("hash"), F.coalesce("first_seen", seen).alias("first"), seen.alias("last"))
     merged = state.drop("high_water").join(now, ["source", "product_id"], "full_outer").select(
         "source", "product_id", F.coalesce("hash", "content_hash").alias("content_hash"), F.coalesce("first_seen", "first").alias("first_seen"), F.coalesce("last", "last_seen").alias("last_seen"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcat.functions import ids
 from loomcat.functions import normalize as N
-from loomcat.functions.text import bound, decode_entities, html_text, strip
+from loomcat.functions.text import bound, decode_entities, html_text, merged_lists, strip
 from loomcat.sources import schema
 
 #: A script element with its attributes and its content; the type is looked for among the attributes.
@@ -15,8 +15,7 @@ ELEMENT = r"(?is)<script\b([^>]*)>(.*?)</script\s*>"
 LINKED_DATA = r"""(?i)\btype\s*=\s*["']?\s*application/ld\+json\b"""
 #: Stands between texts that are decoded together; URLs do not hold it.
 SEPARATOR = "\u001f"
-#: Levels of lists and @graph members that are followed below a payload.
-DEPTH = 4
+NODES = "array<struct<node:variant,graph:boolean,open:boolean>>"
 
 
 def get(node: Column, path: str, kind: str = "string") -> Column:
@@ -31,47 +30,58 @@ def nodes_of(value: Column) -> Column:
 
 
 def payloads(html: Column) -> Column:
-    """The (block, payload) of each JSON-LD script of a page that can be parsed, in order."""
+    """The (block, payload, levels) of each JSON-LD script of a page that can be parsed, in order; levels bounds how deep its lists are nested."""
     inner = F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(2))
     kinds = F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(1))
     found = F.filter(F.zip_with(kinds, inner, lambda k, raw: F.when(k.rlike(LINKED_DATA), raw)), lambda raw: raw.isNotNull())
-    numbered = F.transform(found, lambda raw, i: F.struct(i.alias("block"), F.try_parse_json(F.trim(raw)).alias("payload")))
+    levels = lambda raw: F.length(raw) - F.length(F.replace(raw, F.lit("["), F.lit("")))  # no list is nested deeper
+    numbered = F.transform(found, lambda raw, i: F.struct(i.alias("block"), F.try_parse_json(F.trim(raw)).alias("payload"), levels(raw).alias("levels")))
     return F.filter(numbered, lambda b: b["payload"].isNotNull())
 
 
 def blocks(pages: DataFrame) -> DataFrame:
-    """(source, url, block, payload) of each parsable JSON-LD script."""
-    return pages.select("source", "url", F.explode(payloads(F.col("html"))).alias("b")).select("source", "url", "b.block", "b.payload")
+    """(source, url, block, payload, levels) of each parsable JSON-LD script."""
+    return pages.select("source", "url", F.explode(payloads(F.col("html"))).alias("b")).select("source", "url", "b.*")
 
 
-def nodes_in(value: Column, in_graph: Column | None = None, depth: int = DEPTH) -> Column:
+def nodes_in(value: Column, levels: Column) -> Column:
     """The objects of a payload as (node, graph), in reading order: elements of lists and members of @graph, members before
-    their wrapper. graph: a member of the @graph of a top-level object. Lists and graphs are followed DEPTH levels deep."""
-    inside = F.lit(False) if in_graph is None else in_graph
-
-    def of(entry: Column) -> Column:
-        own = F.when(F.schema_of_variant(entry).startswith("OBJECT"), F.array(F.struct(entry.alias("node"), inside.alias("graph"))))
-        none = F.expr("cast(array() as array<struct<node:variant,graph:boolean>>)")
-        if not depth:
-            return F.coalesce(own, none)
-        graph = get(entry, '$["@graph"]', "variant")
-        is_list = F.schema_of_variant(entry).startswith("ARRAY")
-        below = F.when(is_list, entry).when(F.schema_of_variant(graph).startswith("ARRAY"), graph)
-        members = F.when(below.isNotNull(), nodes_in(below, inside | ~is_list, depth - 1))
-        return F.concat(F.coalesce(members, none), F.coalesce(own, none))
+    their wrapper, at any depth. graph: a member of the @graph of a top-level object.
+
+    The list of entries is rewritten until none is open: an open list gives way to its elements, an open object with a @graph to the
+    members and then itself. That takes a step for each level; levels is an upper bound of those, and the steps over are idle."""
+    none = F.lit(None).cast(NODES)
+    entry = lambda node, graph, open_: F.struct(node.alias("node"), graph.alias("graph"), open_.alias("open"))
+    is_list = lambda v: F.schema_of_variant(v).startswith("ARRAY")
+
+    def expanded(e: Column) -> Column:
+        graph = get(e["node"], '$["@graph"]', "variant")
+        members = F.when(is_list(e["node"]), e["node"]).when(is_list(graph), graph)
+        below = F.transform(get(members, "$", "array<variant>"), lambda v: entry(v, e["graph"] | ~is_list(e["node"]), F.lit(True)))
+        own = F.when(F.schema_of_variant(e["node"]).startswith("OBJECT"), F.array(entry(e["node"], e["graph"], F.lit(False))))
+        empty = F.array().cast(NODES)
+        return F.when(e["open"], F.concat(F.coalesce(below, empty), F.coalesce(own, empty))).otherwise(F.array(e))
+
+    def step(state: Column, _: Column) -> Column:
+        more = F.exists(state["list"], lambda e: e["open"])
+        return F.when(state["more"] & more, F.struct(F.flatten(F.transform(state["list"], expanded)).alias("list"), F.lit(True).alias("more"))).otherwise(
+            F.struct(state["list"].alias("list"), F.lit(False).alias("more"))
+        )
 
-    return F.flatten(F.transform(nodes_of(value), of))
+    begin = F.struct(F.array(entry(value, F.lit(False), F.lit(True))).cast(NODES).alias("list"), F.lit(True).alias("more"))
+    listed = F.aggregate(F.sequence(F.lit(0), levels), begin, step)["list"]
+    return F.transform(F.coalesce(listed, none), lambda e: F.struct(e["node"].alias("node"), e["graph"].alias("graph")))
 
 
 def page_nodes(html: Column) -> Column:
     """All nodes of a page as (block, at, node, graph), without leaving its row."""
-    each = F.transform(payloads(html), lambda b: F.transform(nodes_in(b["payload"]), lambda n, i: F.struct(b["block"].alias("block"), i.alias("at"), n["node"].alias("node"), n["graph"].alias("graph"))))
+    each = F.transform(payloads(html), lambda b: F.transform(nodes_in(b["payload"], b["levels"]), lambda n, i: F.struct(b["block"].alias("block"), i.alias("at"), n["node"].alias("node"), n["graph"].alias("graph"))))
     return F.flatten(each)
 
 
 def nodes(parsed: DataFrame) -> DataFrame:
-    """(source, url, block, at, node, graph) of each object of the payloads (source, url, block, payload)."""
-    return parsed.select("source", "url", "block", F.posexplode(nodes_in(F.col("payload"))).alias("at", "n")).select("source", "url", "block", "at", "n.node", "n.graph")
+    """(source, url, block, at, node, graph) of each object of the payloads (source, url, block, payload, levels)."""
+    return parsed.select("source", "url", "block", F.posexplode(nodes_in(F.col("payload"), F.col("levels"))).alias("at", "n")).select("source", "url", "block", "at", "n.node", "n.graph")
 
 
 def has_type(node: Column, name: str) -> Column:
@@ -173,47 +183,21 @@ def _common(found: DataFrame) -> DataFrame:
     )
 
 
-def map_product(found: DataFrame, currency: str = "EGP") -> DataFrame:
-    """Canonical rows of Product nodes (source, url, node)."""
-    node = F.col("node")
-    some = _common(found)
-    group_id = F.nullif(get(node, "$.isVariantOf.productGroupID"), F.lit(""))
-    pid = F.coalesce(group_id, F.nullif(get(node, "$.productID"), F.lit("")), get(node, "$.sku"))
+def _mapped(found: DataFrame, grouped: Column, currency: str, normalize_keys: bool = False) -> DataFrame:
+    """C10 and C11 in one pass: canonical rows of nodes (source, url, node), as groups where grouped says so, else as products. What one
+    of them does not need is not computed for it."""
+    node, group = F.col("node"), F.col("_grouped")
+    either = lambda g, p: F.when(group, g).otherwise(p)
+    none = F.expr("cast(array() as array<variant>)")
+    variant_of = F.nullif(get(node, "$.isVariantOf.productGroupID"), F.lit(""))
+    own_id = F.coalesce(variant_of, F.nullif(get(node, "$.productID"), F.lit("")), get(node, "$.sku"))
+    group_id = F.coalesce(F.nullif(get(node, "$.productGroupID"), F.lit("")), get(node, "$.productID"))
     suggested = F.lower(get(node, "$.audience.suggestedGender"))
     fallback = F.when(suggested.isin("male", "men"), "men").when(suggested.isin("female", "women"), "women").when(suggested == "unisex", "unisex").otherwise("")
-    some = some.withColumns({
-        "product_id": ids.product_id(F.col("source"), pid, None, F.col("url")),
-        "currency": N.currency(F.col("offer.currency"), currency),
-        "colors": N.colors(texts(get(node, "$.color", "variant"))),
-        "gender": F.when(F.col("gender") == "", fallback).otherwise(F.col("gender")),
-    })
-    many = F.transform(
-        F.col("offer.offers"),
-        lambda o, i: schema.variant(
-            variant_id=ids.variant_id(F.col("product_id"), i, sku=get(o, "$.sku")), sku=get(o, "$.sku"), price=N.to_decimal(get(o, "$.price")),
-            currency=N.currency(get(o, "$.priceCurrency"), F.col("currency")),
-            available=F.when(F.nullif(get(o, "$.availability"), F.lit("")).isNotNull(), availability(get(o, "$.availability")) == "in_stock"),
-        ),
-    )
-    out = some.withColumns({
-        "price": F.col("offer.price"), "availability": F.col("offer.availability"), "sku": F.nullif(strip(get(node, "$.sku")), F.lit("")), "barcode": gtin(node), "gtin": gtin(node),
-        "image_urls": F.col("own_images"), "main_image": F.coalesce(F.get("own_images", 0), F.lit("")), "material": N.materials(get(node, "$.material"), F.col("description"), F.col("title")),
-        "color_images": F.when((F.size("colors") == 1) & (F.size("own_images") > 0), F.create_map(F.col("colors")[0], F.col("own_images"))),
-        "sizes": F.filter(F.transform(texts(get(node, "$.size", "variant")), strip), lambda s: s != ""),
-        "variants": F.when(F.size("offer.offers") > 1, many),
-        "attributes": schema.attributes(platform=F.lit("jsonld"), mpn=F.nullif(strip(get(node, "$.mpn")), F.lit("")), schema_type=get(node, '$["@type"]'), product_group_id=group_id),
-    })
-    return schema.with_defaults(out)
-
-
-def map_group(found: DataFrame, currency: str = "EGP", normalize_keys: bool = False) -> DataFrame:
-    """C11: canonical rows of ProductGroup nodes, one variant for each of hasVariant. Colour keys of
-    color_images are the trimmed raw colours, or with normalize_keys canonical ones."""
-    node = F.col("node")
-    group_id = F.coalesce(F.nullif(get(node, "$.productGroupID"), F.lit("")), get(node, "$.productID"))
-    some = _common(found).withColumns({
-        "product_id": ids.product_id(F.col("source"), group_id, None, F.col("url")),
-        "parts": F.filter(F.coalesce(get(node, "$.hasVariant", "array<variant>"), F.expr("cast(array() as array<variant>)")), lambda v: F.schema_of_variant(v).startswith("OBJECT")),
+    some = _common(found.withColumn("_grouped", grouped)).withColumns({
+        "product_id": ids.product_id(F.col("source"), either(group_id, own_id), None, F.col("url")),
+        "gender": F.when(~group & (F.col("gender") == ""), fallback).otherwise(F.col("gender")),
+        "parts": F.when(group, F.filter(F.coalesce(get(node, "$.hasVariant", "array<variant>"), none), lambda v: F.schema_of_variant(v).startswith("OBJECT"))).otherwise(none),
     })
     read = F.transform(
         "parts",
@@ -226,8 +210,20 @@ def map_group(found: DataFrame, currency: str = "EGP", normalize_keys: bool = Fa
     between = "\u001e"
     listed = F.array_join(F.transform(F.col("read"), lambda r: F.array_join(r["raw_images"], SEPARATOR)), between)
     some = some.withColumn("read", read).withColumn("decoded", F.split(decode_entities(listed), between))
-    some = some.withColumn("read", F.zip_with("read", "decoded", lambda r, d: r.withField("images", N.clean_list(F.split(d, SEPARATOR)))))
-    variants = F.transform(
+    some = some.withColumn("read", F.zip_with("read", F.slice("decoded", 1, F.size("read")), lambda r, d: r.withField("images", N.clean_list(F.split(d, SEPARATOR)))))
+
+    # of a product
+    first_currency = N.currency(F.col("offer.currency"), currency)
+    by_offer = F.transform(
+        F.col("offer.offers"),
+        lambda o, i: schema.variant(
+            variant_id=ids.variant_id(F.col("product_id"), i, sku=get(o, "$.sku")), sku=get(o, "$.sku"), price=N.to_decimal(get(o, "$.price")),
+            currency=N.currency(get(o, "$.priceCurrency"), first_currency),
+            available=F.when(F.nullif(get(o, "$.availability"), F.lit("")).isNotNull(), availability(get(o, "$.availability")) == "in_stock"),
+        ),
+    )
+    # of a group
+    by_part = F.transform(
         "read",
         lambda r: schema.variant(
             variant_id=ids.variant_id(F.col("product_id"), r["i"], barcode=r["gtin"], sku=r["sku"], color=r["color"]), sku=r["sku"], barcode=r["gtin"], color=strip(r["color"]),
@@ -236,23 +232,42 @@ def map_group(found: DataFrame, currency: str = "EGP", normalize_keys: bool = Fa
     )
     key = (lambda r: N.color(r["color"])) if normalize_keys else (lambda r: strip(r["color"]))
     shown = F.filter("read", lambda r: r["color"].isNotNull() & (F.size(r["images"]) > 0))
-    keyed = F.transform(shown, lambda r: F.struct(key(r).alias("k"), r["images"].alias("v")))
-    merged = bound(
-        keyed,
-        lambda xs: F.map_from_entries(F.transform(F.array_distinct(F.transform(xs, lambda x: x["k"])), lambda k: F.struct(k, F.array_distinct(F.flatten(F.transform(F.filter(xs, lambda x: x["k"] == k), lambda x: x["v"])))))),
-    )
     codes = F.filter(F.flatten(F.transform("read", lambda r: F.transform(r["offer"]["offers"], lambda o: N.currency(F.nullif(get(o, "$.priceCurrency"), F.lit("")), currency)))), lambda c: c != currency)
+
+    some = some.withColumns({
+        "colors": N.colors(either(F.transform("read", lambda r: r["color"]), texts(get(node, "$.color", "variant")))),
+        "image_urls": either(F.array_distinct(F.concat("own_images", F.flatten(F.transform("read", lambda r: r["images"])))), F.col("own_images")),
+    })
+    of_product = ~group
     out = some.withColumns({
-        "variants": variants, "image_urls": F.array_distinct(F.concat("own_images", F.flatten(F.transform("read", lambda r: r["images"])))), "color_images": merged,
-        "price": F.array_min(F.array_compact(F.transform("read", lambda r: r["offer"]["price"]))), "currency": F.coalesce(F.get(codes, 0), F.lit(currency)),
-        "availability": F.when(F.size("parts") == 0, "").otherwise(N.availability(F.exists("read", lambda r: r["offer"]["availability"] == "in_stock"))),
-        "material": N.materials(F.col("description"), F.col("title")), "colors": N.colors(F.transform("read", lambda r: r["color"])),
-        "attributes": schema.attributes(platform=F.lit("jsonld"), schema_type=F.lit("ProductGroup"), product_group_id=group_id, varies_by=get(node, "$.variesBy")),
+        "price": either(F.array_min(F.array_compact(F.transform("read", lambda r: r["offer"]["price"]))), F.col("offer.price")),
+        "currency": either(F.coalesce(F.get(codes, 0), F.lit(currency)), first_currency),
+        "availability": either(F.when(F.size("parts") == 0, "").otherwise(N.availability(F.exists("read", lambda r: r["offer"]["availability"] == "in_stock"))), F.col("offer.availability")),
+        "sku": F.when(of_product, F.nullif(strip(get(node, "$.sku")), F.lit(""))), "barcode": F.when(of_product, gtin(node)), "gtin": F.when(of_product, gtin(node)),
+        "main_image": F.coalesce(F.get("image_urls", 0), F.lit("")),
+        "material": N.materials(F.when(of_product, get(node, "$.material")), F.col("description"), F.col("title")),
+        "color_images": either(merged_lists(F.transform(shown, lambda r: F.struct(key(r).alias("k"), r["images"].alias("v")))), F.when((F.size("colors") == 1) & (F.size("own_images") > 0), F.create_map(F.col("colors")[0], F.col("own_images")))),
+        "sizes": F.when(of_product, F.filter(F.transform(texts(get(node, "$.size", "variant")), strip), lambda s: s != "")),
+        "variants": either(by_part, F.when(F.size("offer.offers") > 1, by_offer)),
+        "attributes": schema.attributes(
+            platform=F.lit("jsonld"), mpn=F.when(of_product, F.nullif(strip(get(node, "$.mpn")), F.lit(""))), schema_type=either(F.lit("ProductGroup"), get(node, '$["@type"]')),
+            product_group_id=either(group_id, variant_of), varies_by=F.when(group, get(node, "$.variesBy")),
+        ),
     })
-    return schema.with_defaults(out.withColumn("main_image", F.coalesce(F.get("image_urls", 0), F.lit(""))))
+    return schema.with_defaults(out)
+
+
+def map_product(found: DataFrame, currency: str = "EGP") -> DataFrame:
+    """Canonical rows of Product nodes (source, url, node)."""
+    return _mapped(found, F.lit(False), currency)
+
+
+def map_group(found: DataFrame, currency: str = "EGP", normalize_keys: bool = False) -> DataFrame:
+    """C11: canonical rows of ProductGroup nodes, one variant for each of hasVariant. Colour keys of
+    color_images are the trimmed raw colours, or with normalize_keys canonical ones."""
+    return _mapped(found, F.lit(True), currency, normalize_keys)
 
 
 def map_pages(pages: DataFrame, currency: str = "EGP") -> DataFrame:
-    """Pages (source, url, html) to canonical rows, groups and plain products alike."""
-    found = find(pages)
-    return map_product(found.where(~is_group(F.col("node"))), currency).unionByName(map_group(found.where(is_group(F.col("node"))), currency))
+    """Pages (source, url, html) to canonical rows, groups and plain products alike; each page is parsed once."""
+    return _mapped(find(pages), is_group(F.col("node")), currency)

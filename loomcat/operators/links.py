@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 PRODUCT_PATH = r"(?i)/[a-z0-9][a-z0-9%-]+-\d{6,}\.html$"
 
 
+#: Parts that a store's links are dealt to before a cap.
+PARTS = 64
+
+
 def sitemap_urls(pages: DataFrame, stores: DataFrame, sitemap_cap: int | None = None, product_cap: int | None = None) -> DataFrame:
     """C17: (source, kind, loc, position, at) of sitemap bodies (source, position, html): position is that of the page and
     at the place in it. Nested sitemaps are unique, products match the store's pattern. A cap (a store's crawl budget)
@@ -26,10 +30,14 @@ def sitemap_urls(pages: DataFrame, stores: DataFrame, sitemap_cap: int | None =
 
 
 def first_of_store(links: DataFrame, cap: int | None) -> DataFrame:
+    """The first cap links of each store, in two steps: first of each of a store's PARTS parts, then of what these leave. So no task
+    gets more than a part of a store, or PARTS x cap links of it."""
     if cap is None:
         return links
-    rank = F.row_number().over(Window.partitionBy("source").orderBy("place"))
-    return links.withColumn("rank", rank).where(F.col("rank") <= cap).drop("rank")
+    out = links.withColumn("part", F.pmod(F.xxhash64("loc", "place"), F.lit(PARTS)))
+    for by in (("source", "part"), ("source",)):
+        out = out.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("place", "loc"))).where(F.col("rank") <= cap).drop("rank")
+    return out.drop("part")
 
 
 def robots_sitemaps(pages: DataFrame) -> DataFrame:

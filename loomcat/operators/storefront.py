@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcat.functions import ids, rules
 from loomcat.functions import normalize as N
-from loomcat.functions.text import bound, html_text, strip
+from loomcat.functions.text import bound, html_text, merged_lists, strip
 from loomcat.sources import schema
 
 CODE_LENGTHS = (8, 12, 13, 14)
@@ -51,19 +51,23 @@ def color_images(product: Column, names: Column) -> Column:
     value = lambda v: strip(F.nullif(F.when(at == 0, v["option1"]).when(at == 1, v["option2"]).when(at == 2, v["option3"]), F.lit("")))
     linked = F.filter(F.transform(F.coalesce(product["variants"], F.array()), lambda v: F.struct(v["id"].alias("id"), value(v).alias("color"), v["featured_image"]["src"].alias("featured"))), lambda v: v["id"].isNotNull() & v["color"].isNotNull())
     shown = F.filter(F.coalesce(product["images"], F.array()), lambda i: F.coalesce(i["src"], F.lit("")) != "")
-    loose = F.transform(F.filter(shown, lambda i: F.coalesce(F.size(i["variant_ids"]), F.lit(0)) <= 0), lambda i: i["src"])
-
-    def bucket(vs: Column, c: Column) -> Column:
-        own = F.filter(vs, lambda v: v["color"] == c)
-        mine = F.transform(F.filter(shown, lambda i: F.exists(F.coalesce(i["variant_ids"], F.array()), lambda x: F.exists(own, lambda v: v["id"] == x))), lambda i: i["src"])
-        first = F.get(F.filter(F.transform(own, lambda v: v["featured"]), lambda s: F.coalesce(s, F.lit("")) != ""), 0)
-        led = F.when(F.array_contains(mine, first), F.concat(F.array(first), F.filter(mine, lambda s: s != first))).otherwise(mine)
-        return F.concat(F.coalesce(led, mine), loose)
+    ids_of = lambda i: F.coalesce(i["variant_ids"], F.array().cast("array<bigint>"))
+    loose = F.transform(F.filter(shown, lambda i: F.size(ids_of(i)) <= 0), lambda i: i["src"])
 
     def build(vs: Column) -> Column:
+        """Each image gets the colours of its variants once; a colour then takes the images that have it."""
         raw = F.array_distinct(F.transform(vs, lambda v: v["color"]))
-        keyed = F.transform(raw, lambda c: F.struct(N.color(c).alias("k"), bucket(vs, c).alias("v")))
-        return bound(keyed, lambda xs: F.map_from_entries(F.transform(F.array_distinct(F.transform(xs, lambda x: x["k"])), lambda k: F.struct(k, F.array_distinct(F.flatten(F.transform(F.filter(xs, lambda x: x["k"] == k), lambda x: x["v"])))))))
+        colors_of = lambda i: F.array_distinct(F.transform(F.filter(vs, lambda v: F.array_contains(ids_of(i), v["id"])), lambda v: v["color"]))
+        linked_images = F.transform(F.filter(shown, lambda i: F.size(ids_of(i)) > 0), lambda i: F.struct(i["src"].alias("src"), colors_of(i).alias("colors")))
+
+        def bucket(images: Column, c: Column) -> Column:
+            mine = F.transform(F.filter(images, lambda i: F.array_contains(i["colors"], c)), lambda i: i["src"])
+            first = F.get(F.filter(vs, lambda v: (v["color"] == c) & (F.coalesce(v["featured"], F.lit("")) != "")), 0)["featured"]
+            led = F.when(F.array_contains(mine, first), F.concat(F.array(first), F.filter(mine, lambda s: s != first))).otherwise(mine)
+            return F.concat(F.coalesce(led, mine), loose)
+
+        keyed = bound(linked_images, lambda images: F.transform(raw, lambda c: F.struct(N.color(c).alias("k"), bucket(images, c).alias("v"))))
+        return merged_lists(keyed)
 
     return F.when(at.isNotNull(), bound(linked, build))
 

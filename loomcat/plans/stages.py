@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomcat.functions import normalize as N
 from loomcat.functions.scope import classify_record, record_label, scope_of
 from loomcat.functions.text import strip
 from loomcat.operators.changes import content_hash
+from loomcat.operators.report import pipeline_report
 from loomcat.sources import schema
 
 
@@ -76,7 +78,15 @@ def classify_rows(raw: DataFrame, stores: DataFrame | None = None, order: tuple[
     twenty times) keep the columns as they came and have no scope and no hash. stores: (source, require_images).
     """
     ranked = mark_duplicates(raw, order)  # its exchange serves both branches
-    df = backfill_category(normalize_prices(clean(ranked.where("arrival = 1")))).withColumn("label", record_label())
+    kept = _verdicts(ranked.where("arrival = 1"), stores)
+    later = ranked.where("arrival > 1").withColumns({"label": F.lit(None).cast("string"), "reject_stage": F.lit("dedup"), "reject_reason": F.lit("duplicate")})
+    # the struct is made above the union: one made below it is taken apart there
+    return kept.unionByName(later).withColumn("scope", scope_of(F.col("label"))).drop("arrival", "label")
+
+
+def _verdicts(firsts: DataFrame, stores: DataFrame | None) -> DataFrame:
+    """First arrivals, cleaned and stamped, with label, reject_stage and reject_reason."""
+    df = backfill_category(normalize_prices(clean(firsts))).withColumn("label", record_label())
     if stores is None:
         df = df.withColumn("require_images", F.lit(True))
     else:
@@ -85,10 +95,19 @@ def classify_rows(raw: DataFrame, stores: DataFrame | None = None, order: tuple[
     out = ~F.col("label").isin("footwear", "clothing")
     stage = F.when(out, "scope").when(F.col("missing") != "", "validate")
     reason = F.when(out, F.col("label")).when(F.col("missing") != "", F.col("missing"))
-    judged = stamp(df).withColumns({"reject_stage": stage, "reject_reason": reason}).drop("require_images", "missing")
-    later = ranked.where("arrival > 1").withColumns({"label": F.lit(None).cast("string"), "reject_stage": F.lit("dedup"), "reject_reason": F.lit("duplicate")})
-    # the struct is made above the union: one made below it is taken apart there
-    return judged.unionByName(later).withColumn("scope", scope_of(F.col("label"))).drop("arrival", "label")
+    return stamp(df).withColumns({"reject_stage": stage, "reject_reason": reason}).drop("require_images", "missing")
+
+
+def classify_marked(rows: DataFrame, first: str, stores: DataFrame | None = None) -> DataFrame:
+    """The verdicts of ``classify_rows`` for rows whose boolean column ``first`` tells first arrivals; that column goes. One branch, so that a
+    stateful stream is not run once for each: other rows go through empty and get their columns back at the end."""
+    columns = [c for c in rows.columns if c != first]
+    # source stays: the stores are joined by it
+    bare = rows.select(first, F.struct(*columns).alias("_came"), *(F.col(c) if c == "source" else F.when(F.col(first), F.col(c)).alias(c) for c in columns))
+    df = _verdicts(bare, stores).withColumn("scope", scope_of(F.when(F.col(first), F.col("label"))))
+    back = [F.when(F.col(first), F.col(c)).otherwise(F.col(f"_came.{c}")).alias(c) if c != "scope" else F.col(c) for c in columns]
+    told = {"reject_stage": F.lit("dedup"), "reject_reason": F.lit("duplicate")}
+    return df.select(*back, *(F.when(F.col(first), F.col(c)).otherwise(v).alias(c) for c, v in told.items()))
 
 
 def map_errors(mapped: DataFrame) -> DataFrame:
@@ -101,3 +120,12 @@ def run_pipeline(raw: DataFrame, stores: DataFrame | None = None, order: tuple[s
     """(accepted rows in canonical order, rejected rows with stage and reason). Rows without an id are in neither: see map_errors."""
     rows = classify_rows(raw, stores, order)
     return schema.ordered(rows.where("reject_stage IS NULL")), rows.where("reject_stage IS NOT NULL")
+
+
+def write_pipeline(raw: DataFrame, path: str, stores: DataFrame | None = None, order: tuple[str, ...] = ("scraped_at", "file_name", "seq")) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G8 as a write, with I2 from what was written: (accepted, rejected, report). The input is scanned and judged once; the rows go to a
+    folder for each outcome below path, and the report reads back only their few narrow columns."""
+    rows = classify_rows(raw, stores, order)
+    rows.withColumn("outcome", F.coalesce("reject_stage", F.lit("accepted"))).write.mode("overwrite").partitionBy("outcome").parquet(path)
+    back = raw.sparkSession.read.schema(T.StructType([*rows.schema, T.StructField("outcome", T.StringType())])).parquet(path)
+    return schema.ordered(back.where("outcome = 'accepted'")), back.where("outcome <> 'accepted'").drop("outcome"), pipeline_report(back)

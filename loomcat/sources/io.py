@@ -28,10 +28,29 @@ STATE_DDL = "source string, product_id string, content_hash string, first_seen t
 
 def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """A1: all ``*_products.json`` array files, with file_name; order is by file_name where it matters. A file that
-    holds no list, or is no JSON, is skipped."""
-    files = spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/*_products.json").select("value", F.col("_metadata.file_name").alias("file_name"))
-    lists = files.where(F.col("value").rlike(r"^\s*\[")).select(F.explode(F.from_json("value", f"array<struct<{schema.PRODUCT_DDL.replace(' ', ':').replace(',:', ',')}>>")).alias("p"), "file_name")
-    return lists.where("p IS NOT NULL").select("p.*", "file_name")
+    holds no list, or is no JSON, is skipped.
+
+    Files with a record on each line between the brackets (as catalogs are written) are read line by line, so a large file is split over
+    many tasks; a line of theirs that is no JSON is dropped. A quick look at the lines tells which files are so;
+    the others are read whole, each by one task."""
+    at, record = f"{folder.rstrip('/')}/*_products.json", f"struct<{schema.PRODUCT_DDL.replace(' ', ':').replace(',:', ',')}>"
+    named = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file_name")]
+    lines = spark.read.text(at).select(F.trim("value").alias("value"), *named)
+    bracket, line = F.col("value").isin("[", "]", ""), F.col("value").rlike(r"^\{.*\},?$")
+    shape = lines.groupBy("_path").agg(F.count_if(F.col("value") == "[").alias("opens"), F.count_if(F.col("value") == "]").alias("closes"), F.count_if(~bracket & ~line).alias("others"))
+    by_line = {r._path: r.opens == 1 and r.closes == 1 and not r.others for r in shape.collect()}  # a row for each file
+
+    def of(wanted: bool) -> list[str]:
+        return sorted(p for p, is_so in by_line.items() if is_so == wanted)
+
+    out = spark.createDataFrame([], f"p {record}, file_name string")
+    if paths := of(True):
+        rows = spark.read.text(paths).select(F.trim("value").alias("value"), *named).where(line)
+        out = out.unionByName(rows.select(F.from_json(F.regexp_replace("value", ",$", ""), schema.PRODUCT_DDL, {"columnNameOfCorruptRecord": "_bad"}).alias("p"), "file_name"))
+    if paths := of(False):
+        files = spark.read.option("wholetext", True).text(paths).select("value", *named)
+        out = out.unionByName(files.where(F.col("value").rlike(r"^\s*\[")).select(F.explode(F.from_json("value", f"array<{record}>")).alias("p"), "file_name"))
+    return out.where("p IS NOT NULL").select("p.*", "file_name")
 
 
 def read_jsonl(spark: SparkSession, path: str, ddl: str = schema.PRODUCT_DDL) -> DataFrame:

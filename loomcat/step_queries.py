@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from loomcat import catalog_queries as C
 from loomcat.catalog_queries import PARTS_SQL, arrivals, parts, sql_parts, sql_rules, table
 from loomcat.functions import rules, scope
-from loomcat.operators import changes, jsonld, report, storefront
+from loomcat.operators import changes, jsonld, offers, report, storefront
 from loomcat.plans import stages
-from loomcat.sources import io, schema
+from loomcat.sources import io, schema, versions
 from loomcat.sources.folder import new_path
 from loomcat.streaming import pipeline
 
@@ -219,6 +219,17 @@ def c2_nodes_of_nested_graphs(spark, d):
     return jsonld.nodes(jsonld.blocks(pages)).select("url", jsonld.get(F.col("node"), "$.name").alias("name")).where("name IS NOT NULL")
 
 
+@query("SELECT 'http://p/' || p_partkey AS url, CAST(p_partkey AS VARCHAR) AS sku, p_partkey % 12 + 1 AS n_nodes FROM part")
+def c3_find_at_any_depth(spark, d):
+    """A product under one to twelve wrappers, lists and graphs by turns, is found; each wrapper object is a node too."""
+    k = F.col("p_partkey")
+    deep = F.expr("""concat(array_join(transform(sequence(1, cast(p_partkey % 12 + 1 AS int)), i -> if(i % 2 = 0, '[{"@graph": [', '{"@graph": [')), ''), '{"@type": ["Thing", "PRODUCT"], "sku": ', p_partkey, '}',
+      array_join(transform(sequence(cast(p_partkey % 12 + 1 AS int), 1), i -> if(i % 2 = 0, ']}]', ']}')), ''))""")
+    pages = table(spark, d, "part").select(F.lit("s").alias("source"), F.concat(F.lit("http://p/"), k.cast("string")).alias("url"), C.page(deep).alias("html"))
+    count = jsonld.nodes(jsonld.blocks(pages)).groupBy("url").agg((F.count("*") - 1).alias("n_nodes"))
+    return jsonld.find(pages).select("url", jsonld.get(F.col("node"), "$.sku").alias("sku")).join(count, "url")
+
+
 # ---- storefront parts ------------------------------------------------------------------------------
 
 VARIANTS_SQL = f"{C.LINES_SQL}, v AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey, l_returnflag, lp) - 1 AS i FROM l)"
@@ -361,6 +372,30 @@ def i6_apply_scope(spark, d):
     return io.read_written_catalog(spark, at).select(key(), "scope.scope_type", "source")
 
 
+# ---- the stored tables -------------------------------------------------------------------------------
+
+
+def synced_store(spark, d) -> str:
+    """A store of offers without images, brought in step with the catalog."""
+    at = new_path(spark, "store")
+    have = C.stored(spark, d)
+    offers.create_store(have, have.select("product_url", "image_url").where("false"), at, 16)
+    offers.sync_stored(C.catalog(spark, d), at)
+    return at
+
+
+@query(C.ORACLE["h12_sync"])
+def h12_sync_write(spark, d):
+    """The offers after the write."""
+    return offers.read_offers(spark, synced_store(spark, d))
+
+
+@query(f"WITH {C.STORED_SQL} SELECT DISTINCT product_url, 'http://i/' || p_partkey AS image_url FROM g WHERE p_partkey % 2 = 1 OR p_partkey % 7 = 0")
+def h12_sync_images(spark, d):
+    """The images after the write: those of inserted and updated offers."""
+    return offers.read_images(spark, synced_store(spark, d))
+
+
 # ---- streams ---------------------------------------------------------------------------------------
 
 
@@ -381,6 +416,38 @@ def k1_streaming_pipeline(spark, d):
     return spark.read.schema(rows.schema).parquet(f"{at}/out").select("product_id", "scope.scope_type")
 
 
+@query(C.ORACLE["g8_pipeline"])
+def k1_classify_stream(spark, d):
+    """All arrivals in three batches that mix early and late rows: each row's verdict is that of the batch pipeline."""
+    at = new_path(spark, "verdicts")
+    rows = arrivals(spark, d)
+    stores = spark.range(1).select(F.explode(F.array(F.struct(F.lit("click").alias("source"), F.lit(True).alias("require_images")), F.struct(F.lit("view").alias("source"), F.lit(False).alias("require_images")))).alias("s")).select("s.*")
+    spark.conf.set(*pipeline.STATE_STORE)
+    for part in (2, 0, 1, None):
+        # the last batch is one row of a later time: what has been held back is let go
+        closing = rows.limit(1).withColumns({"product_id": F.lit("closing"), "scraped_at": F.lit("2100-01-01").cast("timestamp")})
+        (closing if part is None else rows.where(F.col("seq") % 3 == part)).write.mode("append").parquet(f"{at}/in")
+        told = pipeline.classify_stream(spark.readStream.schema(rows.schema).parquet(f"{at}/in"), "400 days", stores, ("scraped_at", "seq"))
+        run = told.select(F.col("seq").alias("event_id"), F.col("reject_stage").alias("stage"), F.col("reject_reason").alias("reason"))
+        run.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/ck").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("event_id bigint, stage string, reason string").parquet(f"{at}/out")
+
+
+@query(f"SELECT source, product_id, content_hash, first_seen, CASE WHEN last_seen >= TIMESTAMP '{C.HALF}' THEN last_seen + INTERVAL 1 DAY ELSE last_seen END AS last_seen, high_water + INTERVAL 1 DAY AS high_water FROM ({STATE_SQL})")
+def k2_state_compacted(spark, d):
+    """Three batches, the last of which has no hashes and a later time; the second compacts the log; the first comes again."""
+    at = new_path(spark, "state")
+    none, seen = F.lit(None).cast("timestamp"), F.col("scraped_at")
+    rec = lambda late: C.snapshot(spark, d, late).withColumns({"first_seen": none, "last_seen": none, "source_updated_at": seen})
+    bare = C.snapshot(spark, d, True).withColumns({"content_hash": F.lit(None).cast("string"), "scraped_at": seen + F.expr("INTERVAL 1 DAY")})
+    bare = bare.withColumns({"first_seen": none, "last_seen": none, "source_updated_at": F.col("scraped_at")})
+    for n, batch in enumerate((rec(False), rec(True), bare)):
+        pipeline.add_batch(batch, n, at, "crawl", buckets=8, most_entries=2)
+    pipeline.add_batch(rec(False), 0, at, "crawl")
+    versions.vacuum(spark, at)
+    return pipeline.current_state(spark, at)
+
+
 @query(STATE_SQL)
 def k2_streaming_upsert(spark, d):
     """Two snapshots as two batches of a stream of records, and the state that their log holds."""
