@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules
-from .text import bound, first_rule, has_part, haystack, strip, title_case, word_pattern
+from .text import bound, first_rule, has_part, haystack, literal_map, strip, title_case, word_pattern
 
 DESCRIPTION_RULES = tuple((name, tuple(w for w in words if w not in rules.DESCRIPTION_AMBIGUOUS)) for name, words in rules.CATEGORY_RULES)
 
@@ -36,7 +36,7 @@ def color(value: Column) -> Column:
     names = {s: name for name, synonyms in reversed(rules.COLORS) for s in reversed(synonyms)}
     # the leftmost match wins, and of several at one place the alternative that comes first in the table
     pattern = "(" + "|".join(re.escape(s) for _, synonyms in rules.COLORS for s in synonyms) + ")"
-    known = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    known = literal_map(names, "string")
 
     def pick(v: Column) -> Column:
         return F.coalesce(F.try_element_at(known, F.regexp_extract(F.lower(v), pattern, 1)), title_case(v))
@@ -98,7 +98,7 @@ def currency(value: Column, default: str | Column = "EGP") -> Column:
     """A currency code from a symbol or code."""
     fallback = F.lit(default) if isinstance(default, str) else default
     key = F.lower(strip(value))
-    known = F.create_map(*(F.lit(x) for pair in rules.CURRENCIES.items() for x in pair))
+    known = literal_map(dict(rules.CURRENCIES), "string")
     return F.coalesce(F.try_element_at(known, key), F.when(F.upper(key).rlike(r"^\p{L}{3}$"), F.upper(key)), fallback)
 
 

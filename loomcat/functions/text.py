@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -72,14 +74,14 @@ def trie_pattern(words: Iterable[str]) -> str:
 
 def keyword_hits(text: Column, words: Iterable[str]) -> Column:
     """At each place of lower-case text the longest keyword that begins there, plural endings included: one scan for all edged
-    keywords, and one for the others if text has their first characters. Matches may overlap, so none hides another that begins elsewhere."""
+    keywords, and one for the others if text has characters of their range. Matches may overlap, so none hides another that begins elsewhere."""
     edged, parts = split_words(words)
     found = []
     inside = EDGE.replace("^", "", 1)
     if edged:
         found.append(F.regexp_extract_all(text, F.lit(f"(?<!{inside})(?=({trie_pattern(edged)}(?:s|es)?)(?!{inside}))"), F.lit(1)))
     if parts:
-        begins = "[" + "".join(sorted({w[0] for w in parts})) + "]"
+        begins = f"[{min(w[0] for w in parts)}-{max(w[0] for w in parts)}]"  # a range is one comparison, a list of letters many
         all_ = F.regexp_extract_all(text, F.lit(f"(?={begins})(?=({trie_pattern(parts)}))"), F.lit(1))
         found.append(F.when(text.rlike(begins), all_).otherwise(F.array().cast("array<string>")))
     return F.concat(*found)
@@ -92,7 +94,13 @@ def _within(hit: str, word: str) -> bool:
     return any(hit.startswith(w) and (len(hit) == len(w) or not (hit[len(w)].isalnum() or hit[len(w)] == "_")) for w in (word, word + "s", word + "es"))
 
 
-def hit_table(groups: list[list[str]]) -> dict[str, list[int]]:
+def literal_map(values: dict[str, object], kind: str) -> Column:
+    """A constant map from texts: one literal, however many entries, which the optimizer folds."""
+    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), f"map<string,{kind}>")
+
+
+@lru_cache
+def hit_table(groups: tuple[tuple[str, ...], ...]) -> dict[str, list[int]]:
     """The numbers of the groups (of words) that each possible hit matches."""
     words = dict.fromkeys(w for g in groups for w in g)
     hits = dict.fromkeys(h for w in words for h in ((w, w + "s", w + "es") if w.isascii() else (w,)))
@@ -102,8 +110,8 @@ def hit_table(groups: list[list[str]]) -> dict[str, list[int]]:
 def first_rule(text: Column, rules: Iterable[tuple[str, Iterable[str]]], otherwise: Column) -> Column:
     """The name of the first rule whose keywords text holds: the hits of all rules at once, then the least of their ranks."""
     rules = [(name, list(words)) for name, words in rules]
-    ranks = {h: at[0] for h, at in hit_table([words for _, words in rules]).items()}
-    rank_of = F.create_map(*(F.lit(x) for pair in ranks.items() for x in pair))
+    ranks = {h: at[0] for h, at in hit_table(tuple(tuple(words) for _, words in rules)).items()}
+    rank_of = literal_map(ranks, "int")
     least = F.array_min(F.transform(keyword_hits(text, [w for _, words in rules for w in words]), lambda h: F.try_element_at(rank_of, h)))
     return F.coalesce(F.get(F.array(*(F.lit(name) for name, _ in rules)), least), otherwise)
 

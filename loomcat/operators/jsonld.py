@@ -11,7 +11,9 @@ from loomcat.functions.text import bound, decode_entities, html_text, merged_lis
 from loomcat.sources import schema
 
 #: A script element with its attributes and its content; the type is looked for among the attributes.
-ELEMENT = r"(?is)<script\b([^>]*)>(.*?)</script\s*>"
+ELEMENT = r"(?is)<script\b[^>]*>.*?</script\s*>"
+ATTRIBUTES = r"(?is)^<script\b([^>]*)>"
+CONTENT = r"(?is)^<script\b[^>]*>(.*)</script\s*>$"
 LINKED_DATA = r"""(?i)\btype\s*=\s*["']?\s*application/ld\+json\b"""
 #: Stands between texts that are decoded together; URLs do not hold it.
 SEPARATOR = "\u001f"
@@ -31,9 +33,8 @@ def nodes_of(value: Column) -> Column:
 
 def payloads(html: Column) -> Column:
     """The (block, payload, levels) of each JSON-LD script of a page that can be parsed, in order; levels bounds how deep its lists are nested."""
-    inner = F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(2))
-    kinds = F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(1))
-    found = F.filter(F.zip_with(kinds, inner, lambda k, raw: F.when(k.rlike(LINKED_DATA), raw)), lambda raw: raw.isNotNull())
+    elements = F.filter(F.regexp_extract_all(html, F.lit(ELEMENT), F.lit(0)), lambda e: F.regexp_extract(e, ATTRIBUTES, 1).rlike(LINKED_DATA))
+    found = F.transform(elements, lambda e: F.regexp_extract(e, CONTENT, 1))
     levels = lambda raw: F.length(raw) - F.length(F.replace(raw, F.lit("["), F.lit("")))  # no list is nested deeper
     numbered = F.transform(found, lambda raw, i: F.struct(i.alias("block"), F.try_parse_json(F.trim(raw)).alias("payload"), levels(raw).alias("levels")))
     return F.filter(numbered, lambda b: b["payload"].isNotNull())
@@ -107,7 +108,8 @@ def find(pages: DataFrame, mode: str = "product_or_group") -> DataFrame:
     ``product_or_group``: the first group at any place, else the first Product; ``graph``: the first Product of a @graph.
     All nodes of a page come from its row, so nothing is shuffled."""
     listed = pages.select("source", "url", F.explode(F.array(page_nodes(F.col("html")))).alias("many"))
-    return listed.select("source", "url", chosen(F.col("many"), mode).alias("found")).where("found IS NOT NULL").select("source", "url", "found.node")
+    # one that is chosen or none: a filter on it would choose twice
+    return listed.select("source", "url", F.explode(F.array_compact(F.array(chosen(F.col("many"), mode)))).alias("found")).select("source", "url", "found.node")
 
 
 def texts(value: Column) -> Column:

@@ -19,7 +19,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,19 +42,17 @@ def bucket_of(n: int, *keys: str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
 
 
-def _none_there(e: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e)
+def _there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def current(spark: SparkSession, path: str) -> Version:
     """The newest version; version 0, with nothing in it, where none was written."""
-    try:
-        rows = spark.read.schema(f"{MANIFEST_DDL}, version bigint").parquet(f"{path}/manifest")
-        newest = rows.agg(F.max("version")).first()[0]  # folders' names
-    except AnalysisException as e:
-        if not _none_there(e):
-            raise
-        newest = None
+    if not _there(spark, f"{path}/manifest"):
+        return Version()
+    rows = spark.read.schema(f"{MANIFEST_DDL}, version bigint").parquet(f"{path}/manifest")
+    newest = rows.agg(F.max("version")).first()[0]  # folders' names
     if newest is None:
         return Version()
     out = Version(newest)
@@ -101,12 +98,7 @@ def write_buckets(path: str, name: str, rows: DataFrame, touched: set[int], n: i
     folder = f"{path}/data/{name}-{uuid.uuid4().hex}"
     spark = rows.sparkSession
     rows.withColumn("bucket", bucket_of(n, *keys)).repartition(max(1, len(touched)), "bucket").write.partitionBy("bucket").parquet(folder)
-    try:
-        there = {r.bucket for r in spark.read.schema("bucket int").option("basePath", folder).parquet(folder).select("bucket").distinct().collect()}
-    except AnalysisException as e:
-        if not _none_there(e):
-            raise
-        there = set()
+    there = {b for b in touched if _there(spark, f"{folder}/bucket={b}")}
     return {(name, b): f"{folder}/bucket={b}" if b in there else None for b in touched}
 
 
