@@ -7,10 +7,10 @@ A word is removed if a window of ``WINDOW`` words that covers it occurs more tha
    fourteen is an anchor. Counting anchors leaves those that recur, kept as a fixed-size bitmap.
 2. Regions: the words of the windows around each recurring anchor, written once.
 3. Confirmed passages: windows of regions are counted by (anchor, digest); those that recur are confirmed.
-4. Automata: anchors are dealt to shards of bounded size by their hash, frequent ones to several. Each
-   shard compiles one Aho-Corasick automaton of its anchor phrases; every region that can hold one of them
-   streams through it (so every document is covered, without sending each document to each shard), and
-   the windows around each match are looked up among the confirmed ones.
+4. Automata: anchors are dealt to shards of bounded size by their hash, frequent ones to several. Each shard compiles its
+   confirmed windows into Aho-Corasick automata over words, and every region that can hold one of them streams through them: what an
+   automaton matches, and nothing else, is covered. A document's other words are around anchors that occur once, so no confirmed
+   window is among them, and each document is covered without being sent to each shard.
 5. The covered word ranges return to their documents.
 
 Defined results: a null text has no words; the hash of no words' text is that of the empty string; rows
@@ -37,6 +37,8 @@ WINDOW = 35
 GRAM = 8
 BITS = 25
 SHARD_ROWS = 20_000
+#: Phrases of one automaton.
+PHRASES = 30_000
 HOT_ROWS = 5_000
 
 
@@ -143,6 +145,52 @@ def confirmed(found: DataFrame) -> DataFrame:
     return rows.groupBy("anchor", "digest").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "digest")
 
 
+def phrases_of(w: Words, digests: np.ndarray) -> np.ndarray:
+    """Where the words of each confirmed window are: its first word in one of the regions that hold it."""
+    i, digest = window_digests(w)
+    known = np.flatnonzero(np.isin(digest.view(np.int64), digests))
+    return i[known[np.unique(digest[known], return_index=True)[1]]]
+
+
+def compiled(phrases: list[str]):
+    """The automaton of the phrases."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for p in phrases:
+        automaton.add_word(p, True)
+    if phrases:
+        automaton.make_automaton()
+    return automaton
+
+
+def found_words(w: Words, at: np.ndarray, compile_=compiled) -> np.ndarray:
+    """Which words an occurrence of a phrase covers; at: the first word of each phrase. The automaton reads words, not letters: each word of
+    the phrases is a character of its own, every other word one character that no phrase has. ``PHRASES`` phrases at a time have
+    fewer words than there are characters."""
+    cover = np.zeros(len(w) + 1, np.int64)
+    word = _strings(w.data, w.start, w.end).dictionary_encode()
+    ids, n = np.asarray(word.indices), len(word.dictionary)
+    for lo in range(0, len(at), PHRASES):
+        words = ids[at[lo : lo + PHRASES, None] + np.arange(WINDOW)]
+        used = np.unique(words)
+        code = np.full(n, 1, np.uint32)
+        code[used] = np.arange(2, len(used) + 2)
+        code[code >= 0xD800] += 0x800  # no surrogates
+        as_text = lambda a: code[a].astype("<u4").tobytes().decode("utf-32-le")
+        automaton = compile_([as_text(p) for p in words])
+        if not len(automaton):
+            continue
+        text = as_text(ids)
+        for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+            ends = [end for end, _ in automaton.iter(text[a:b])]
+            if ends:
+                starts = np.array(ends) + (a + 1 - WINDOW)
+                np.add.at(cover, starts, 1)
+                np.subtract.at(cover, starts + WINDOW, 1)
+    return np.cumsum(cover[:-1]) > 0
+
+
 def locate(found: DataFrame, passages: DataFrame, id_kind: str) -> DataFrame:
     """(id, h, start, stop): word ranges covered by confirmed windows, by sharded automata."""
     spark = found.sparkSession
@@ -160,59 +208,13 @@ def locate(found: DataFrame, passages: DataFrame, id_kind: str) -> DataFrame:
     phrases = dealt(passages, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
 
     def run(key: tuple, text: pa.Table, known: pa.Table) -> pa.Table:
-        import ahocorasick
-
         schema = pa.schema([("id", text.schema.field("id").type), ("h", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
         if not known.num_rows or not text.num_rows:
             return schema.empty_table()
-        anchor, digest = known.column("anchor").to_numpy(), known.column("digest").to_numpy()
-        order = np.lexsort((digest, anchor))
-        anchor, digest = anchor[order], digest[order]
-        wanted = np.unique(anchor)
-        own = text.column("anchor").to_numpy()
-        text = text.filter(pa.array(np.isin(own, wanted)))
-        own = text.column("anchor").to_numpy()
+        text = text.filter(pa.array(np.isin(text.column("anchor").to_numpy(), known.column("anchor").to_numpy())))
         w = Words(text.column("words"))
-        size, first = w.per_text, w.first
-        i, dig = window_digests(w)
-        window_at = np.full(len(w), -1, np.int64)
-        window_at[i] = np.arange(len(i))
-        strings = text.column("words").to_pylist()
-        # the phrases' words come from the regions: the anchor of each is its first phrase with that hash
-        grams = Ranges(w.hashes())
-        automaton = ahocorasick.Automaton()
-        _, where = np.unique(own, return_index=True)
-        for r in where:
-            n = size[r] - GRAM + 1
-            begin = np.arange(first[r], first[r] + n)
-            at = int(np.flatnonzero(grams.hash(begin, begin + GRAM).view(np.int64) == own[r])[0])
-            automaton.add_word(" " + " ".join(strings[r].split(" ")[at : at + GRAM]) + " ", int(own[r]))
-        automaton.make_automaton()
-        hits_r, hits_q, hits_a = [], [], []
-        for r, s in enumerate(strings):
-            s = f" {s} "
-            for end, a in automaton.iter(s):
-                hits_r.append(r)
-                hits_q.append(s.count(" ", 0, end) - GRAM)
-                hits_a.append(a)
-        r, q, a = np.array(hits_r, np.int64), np.array(hits_q, np.int64), np.array(hits_a, np.int64)
-        cover = np.zeros(len(w) + 1, np.int64)
-        key_lo, key_hi = np.searchsorted(anchor, a, "left"), np.searchsorted(anchor, a, "right")
-        for back in range(WINDOW - GRAM + 1):  # windows that hold the match, by where it lies in them
-            begin = q - back
-            ok = (begin >= 0) & (begin + WINDOW <= size[r])
-            at = window_at[(first[r] + np.maximum(begin, 0))[ok]]
-            lo, hi, d = key_lo[ok].copy(), key_hi[ok].copy(), dig[at].view(np.int64)
-            end = hi.copy()
-            while (open_ := lo < hi).any():  # binary search of d in the anchor's own digests
-                mid = (lo + hi) // 2
-                less = open_ & (digest[np.minimum(mid, len(digest) - 1)] < d)
-                lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
-            yes = (lo < end) & (digest[np.minimum(lo, len(digest) - 1)] == d)
-            starts = i[at[yes]]
-            np.add.at(cover, starts, 1)
-            np.subtract.at(cover, starts + WINDOW, 1)
-        inside = np.r_[False, np.cumsum(cover[:-1]) > 0, False]
+        first = w.first
+        inside = np.r_[False, found_words(w, phrases_of(w, known.column("digest").to_numpy())), False]
         # ranges end with their region
         edge = np.zeros(len(w) + 1, bool)
         edge[first] = True

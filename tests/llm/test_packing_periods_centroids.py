@@ -342,3 +342,48 @@ def test_centroid_bounds_spare_work():
     v = centroids.Vectors(x)
     near = np.stack([np.sqrt(v.to(np.arange(len(x)), p).astype(float)) for p in pivots], axis=1)
     assert centroids.nearest(v, near, centers, pivots)[2] < 0.3 * len(x) * len(centers)
+
+
+# ---- 5: the automaton decides ----------------------------------------------------------------------
+
+
+def test_repeats_need_their_automaton():
+    """Confirmed windows are found by the automaton alone: all of them, and nothing without its phrases."""
+    import ahocorasick
+    import pyarrow as pa
+
+    from loomcat.llm import repeats
+    from loomcat.llm.textops import Words
+
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(3000)}" for _ in range(2000)]
+    texts = []
+    for k in range(200):
+        at = rng.randrange(1900)
+        texts.append(" ".join([*(f"u{k}_{rng.randrange(999)}" for _ in range(rng.randrange(60))), *base[at : at + rng.randrange(20, 90)], f"v{k}"]))
+    w = Words(pa.array(texts))
+    i, digest = repeats.window_digests(w)
+    known, n = np.unique(digest, return_counts=True)
+    recurring = known[n > 1].view(np.int64)
+    want = np.zeros(len(w), bool)
+    for s in i[np.isin(digest.view(np.int64), recurring)]:
+        want[s : s + repeats.WINDOW] = True
+    at = repeats.phrases_of(w, recurring)
+    assert len(at) == len(recurring) and (repeats.found_words(w, at) == want).all() and want.any()
+    assert not repeats.found_words(w, at, lambda phrases: ahocorasick.Automaton()).any()
+    assert not repeats.found_words(w, at[:0]).any()
+    half = repeats.found_words(w, at, lambda phrases: repeats.compiled(phrases[::2]))
+    assert half.any() and not half[~want].any()
+
+
+def test_repeats_phrases_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from loomcat.llm import repeats
+    from loomcat.llm.textops import Words
+
+    w = Words(pa.array([" ".join(f"p{i}" for i in range(90))] * 2 + ["x " + " ".join(f"p{i}" for i in range(50))]))
+    at = repeats.phrases_of(w, repeats.window_digests(w)[1].view(np.int64))
+    whole = repeats.found_words(w, at)
+    monkeypatch.setattr(repeats, "PHRASES", 7)
+    assert len(at) == 57 and (repeats.found_words(w, at) == whole).all() and whole.sum() == 230
