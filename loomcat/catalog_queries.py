@@ -259,9 +259,13 @@ ARRIVALS_SQL = (
 )
 
 
+def store_flags(spark: SparkSession) -> DataFrame:
+    """Two stores of the dimension, one of which needs no images."""
+    return spark.createDataFrame([("click", True), ("view", False)], "source string, require_images boolean")
+
+
 def classified(spark: SparkSession, d: str) -> DataFrame:
-    stores = spark.range(1).select(F.explode(F.array(F.struct(F.lit("click").alias("source"), F.lit(True).alias("require_images")), F.struct(F.lit("view").alias("source"), F.lit(False).alias("require_images")))).alias("s")).select("s.*")
-    return stages.classify_rows(arrivals(spark, d), stores, order=("scraped_at", "seq"))
+    return stages.classify_rows(arrivals(spark, d), store_flags(spark), order=("scraped_at", "seq"))
 
 
 @query("SELECT user_id, min(event_id) AS event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n = 1 GROUP BY user_id")
@@ -501,6 +505,15 @@ def j3_average_embeddings(spark, d):
     return mean.select("vec_id", F.size("m").alias("n"), F.round(F.aggregate("m", F.lit(0.0), lambda a, x: a + x), 3).alias("total"))
 
 
+@query("SELECT a.vec_id, unnest(range(64)) AS at, CAST(unnest(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1] + z[2]) / 2)) AS DOUBLE) AS value FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE len(a.embedding) = 64 AND len(b.embedding) = 64")
+def j3_average_elements(spark, d):
+    """Every component of the means."""
+    e = table(spark, d, "embeddings").where(F.size("embedding") == 64)
+    both = e.select("vec_id", "embedding").join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+    each = both.select("vec_id", F.posexplode(embed.average_embeddings(F.col("embedding"), F.col("other"))).alias("at", "value"))
+    return each.select("vec_id", F.col("at").cast("long").alias("at"), F.col("value").cast("double").alias("value"))
+
+
 # ---- extraction ------------------------------------------------------------------------------------
 
 
@@ -614,11 +627,23 @@ def c4_html_text(spark, d):
 
 @query("SELECT 's' || (p_partkey % 5) AS source, CASE WHEN p_partkey % 7 = 0 THEN 'sitemap' ELSE 'product' END AS kind, CASE WHEN p_partkey % 7 = 0 THEN 'http://a/' || p_partkey || '.xml' ELSE 'http://a/product/' || p_partkey END AS loc FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 2 = 0")
 def c17_sitemap_urls(spark, d):
+    return links.sitemap_urls(*sitemaps(spark, d)).select("source", "kind", "loc")
+
+
+@query(
+    """SELECT source, kind, loc FROM (SELECT *, row_number() OVER (PARTITION BY source, kind ORDER BY p_partkey) AS n FROM (SELECT p_partkey, 's' || (p_partkey % 5) AS source,
+    CASE WHEN p_partkey % 7 = 0 THEN 'sitemap' ELSE 'product' END AS kind, CASE WHEN p_partkey % 7 = 0 THEN 'http://a/' || p_partkey || '.xml' ELSE 'http://a/product/' || p_partkey END AS loc FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 2 = 0)) WHERE n <= CASE kind WHEN 'sitemap' THEN 3 ELSE 20 END"""
+)
+def c17_sitemap_budget(spark, d):
+    """With a store's crawl budget: the first 3 nested sitemaps and 20 products of each."""
+    return links.sitemap_urls(*sitemaps(spark, d), sitemap_cap=3, product_cap=20).select("source", "kind", "loc")
+
+
+def sitemaps(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     k = F.col("p_partkey")
     loc = F.when(k % 7 == 0, F.concat(F.lit("http://a/"), k.cast("string"), F.lit(".xml"))).when(k % 2 == 0, F.concat(F.lit("http://a/product/"), k.cast("string"))).otherwise("http://a/about")
     pages = table(spark, d, "part").select(F.concat(F.lit("s"), (k % 5).cast("string")).alias("source"), k.alias("position"), F.concat(F.lit("<urlset><loc> "), loc, F.lit("</loc></urlset>")).alias("html"))
-    stores = pages.select("source").distinct().withColumn("product_pattern", F.lit("/product/"))
-    return links.sitemap_urls(pages, stores).select("source", "kind", "loc")
+    return pages, pages.select("source").distinct().withColumn("product_pattern", F.lit("/product/"))
 
 
 @query("SELECT url AS source, CAST(1 AS INTEGER) AS at, url || '/map.xml' AS url FROM pages")

@@ -44,14 +44,19 @@ def backfill_category(df: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """``arrival`` 1 for the first row of each product id in the given order; rows without an id are
+    """G4 with its rejects: ``arrival`` 1 for the first row of each product id in the given order; rows without an id are
     dropped. The order should end in a unique column."""
     first = Window.partitionBy("product_id").orderBy(*order)
     return df.where(F.coalesce("product_id", F.lit("")) != "").withColumn("arrival", F.row_number().over(first))
 
 
-def dedup(df: DataFrame, order: tuple[str, ...] = ("scraped_at", "file_name", "seq")) -> DataFrame:
-    return mark_duplicates(df, order).where("arrival = 1").drop("arrival")
+def dedup(df: DataFrame, order: tuple[str, ...] = ("scraped_at", "file_name", "seq"), counted: str | None = None) -> DataFrame:
+    """The first row of each product id in the given order, and with ``counted`` how many came of it. Each task keeps one row of an id before
+    anything is shuffled, so what moves does not grow with the repeats of a crawl. Rows without an id are dropped; nulls of the order come first."""
+    some = df.where(F.coalesce("product_id", F.lit("")) != "")
+    wanted = [F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_first"), *([F.count("*").alias(counted)] if counted else [])]
+    # the key goes by another name: the whole row comes back in _first
+    return some.groupBy(F.col("product_id").alias("_id")).agg(*wanted).select("_first.*", *([counted] if counted else []))
 
 
 def add_scope(df: DataFrame) -> DataFrame:
@@ -122,6 +127,12 @@ def run_pipeline(raw: DataFrame, stores: DataFrame | None = None, order: tuple[s
     return schema.ordered(rows.where("reject_stage IS NULL")), rows.where("reject_stage IS NOT NULL")
 
 
+def accepted_products(raw: DataFrame, stores: DataFrame | None = None, order: tuple[str, ...] = ("scraped_at", "file_name", "seq")) -> DataFrame:
+    """The accepted rows of G8 where rejects are not wanted: repeats are left out before the shuffle."""
+    rows = _verdicts(dedup(raw, order), stores).where("reject_stage IS NULL")
+    return schema.ordered(rows.withColumn("scope", scope_of(F.col("label"))))
+
+
 def write_pipeline(raw: DataFrame, path: str, stores: DataFrame | None = None, order: tuple[str, ...] = ("scraped_at", "file_name", "seq")) -> tuple[DataFrame, DataFrame, DataFrame]:
     """G8 as a write, with I2 from what was written: (accepted, rejected, report). The input is scanned and judged once; the rows go to a
     folder for each outcome below path, and the report reads back only their few narrow columns."""

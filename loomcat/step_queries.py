@@ -46,6 +46,16 @@ def a1_read_catalog(spark, d):
     return io.read_catalog(spark, at).select("product_id", "title", "price", F.size("colors").cast("long").alias("n_colors"))
 
 
+@query(f"WITH {PARTS_SQL} SELECT CAST(p_partkey AS VARCHAR) AS product_id, title, price, len(string_split(p_name, ' ')) AS n_colors FROM p")
+def a1_read_catalog_by_line(spark, d):
+    """Files with a record on each line, as catalogs are written: read in splits."""
+    at = new_path(spark, "catalogs")
+    row = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("product_id"), "title", "price", F.split("p_name", " ").alias("colors")))
+    lines = parts(spark, d).groupBy("p_brand").agg(F.array_join(F.collect_list(row), ",\n").alias("rows"))
+    whole_files(lines.select(F.concat(F.lit("[\n"), "rows", F.lit("\n]")).alias("value")), f"{at}/lines_products.json")
+    return io.read_catalog(spark, at).select("product_id", "title", "price", F.size("colors").cast("long").alias("n_colors"))
+
+
 @query(f"WITH {PARTS_SQL} SELECT CAST(p_partkey AS VARCHAR) AS product_id, title, price FROM p WHERE p_partkey % 10 <> 0")
 def a2_read_jsonl(spark, d):
     at = new_path(spark, "jsonl")
@@ -149,6 +159,20 @@ def b3_ordered(spark, d):
     return out.select(F.col("product_id").cast("long").alias("p_partkey"), F.array_join(keys, ",").alias("columns"))
 
 
+TEXT_FIELDS = [name for name, kind, _ in schema.FIELDS if kind == "string"]
+KNOWN = {"product_id": "CAST(p_partkey AS VARCHAR)", "source": "p_brand", "title": "title", "currency": "'EGP'", "gtin": "CASE WHEN p_partkey % 4 <> 0 THEN '1' ELSE '-' END"}
+DEFAULTS = {name: "'-'" if default is None else "''" for name, kind, default in schema.FIELDS}
+
+
+@query(f"WITH {PARTS_SQL} SELECT p_partkey, concat_ws('|', {', '.join(KNOWN.get(n, DEFAULTS[n]) for n in TEXT_FIELDS)}) AS texts FROM p")
+def b3_ordered_values(spark, d):
+    """The values of all text fields by their place, from columns in another order: names and values stay together."""
+    rows = canonical(spark, d)
+    out = schema.ordered(rows.select(F.lit(1).alias("extra"), *reversed(rows.columns)))
+    places = [i for i, (_, kind, _) in enumerate(schema.FIELDS) if kind == "string"]
+    return out.select(F.col("product_id").cast("long").alias("p_partkey"), F.concat_ws("|", *(F.coalesce(out[i], F.lit("-")) for i in places)).alias("texts"))
+
+
 # ---- JSON-LD parts ---------------------------------------------------------------------------------
 
 
@@ -372,6 +396,20 @@ def i6_apply_scope(spark, d):
     return io.read_written_catalog(spark, at).select(key(), "scope.scope_type", "source")
 
 
+@query(f"WITH {C.ARRIVALS_SQL} SELECT CAST(user_id AS VARCHAR) AS product_id, ts AS scraped_at, CASE l WHEN 'footwear' THEN 'footwear' ELSE 'clothing' END AS scope_type FROM k WHERE stage IS NULL")
+def g8_accepted(spark, d):
+    """The accepted rows alone, without moving the repeats."""
+    stores = C.store_flags(spark)
+    return stages.accepted_products(arrivals(spark, d), stores, ("scraped_at", "seq")).select("product_id", "scraped_at", "scope.scope_type")
+
+
+@query(C.ORACLE["i2_pipeline_report"])
+def i2_report_of_written(spark, d):
+    """The counts from the rows that one write of the pipeline left."""
+    stores = C.store_flags(spark)
+    return stages.write_pipeline(arrivals(spark, d), new_path(spark, "outcomes"), stores, ("scraped_at", "seq"))[2]
+
+
 # ---- the stored tables -------------------------------------------------------------------------------
 
 
@@ -409,7 +447,7 @@ def k1_streaming_pipeline(spark, d):
     at = new_path(spark, "stream")
     rows = first_arrivals(spark, d)
     rows.unionByName(rows).write.parquet(f"{at}/in")
-    stores = spark.range(1).select(F.explode(F.array(F.struct(F.lit("click").alias("source"), F.lit(True).alias("require_images")), F.struct(F.lit("view").alias("source"), F.lit(False).alias("require_images")))).alias("s")).select("s.*")
+    stores = C.store_flags(spark)
     out = pipeline.streaming_pipeline(spark.readStream.schema(rows.schema).parquet(f"{at}/in"), stores=stores)
     run = out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/ck").trigger(availableNow=True).start()
     run.awaitTermination()
@@ -421,7 +459,7 @@ def k1_classify_stream(spark, d):
     """All arrivals in three batches that mix early and late rows: each row's verdict is that of the batch pipeline."""
     at = new_path(spark, "verdicts")
     rows = arrivals(spark, d)
-    stores = spark.range(1).select(F.explode(F.array(F.struct(F.lit("click").alias("source"), F.lit(True).alias("require_images")), F.struct(F.lit("view").alias("source"), F.lit(False).alias("require_images")))).alias("s")).select("s.*")
+    stores = C.store_flags(spark)
     spark.conf.set(*pipeline.STATE_STORE)
     for part in (2, 0, 1, None):
         # the last batch is one row of a later time: what has been held back is let go
