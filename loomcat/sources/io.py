@@ -46,9 +46,10 @@ def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
     out = spark.createDataFrame([], f"p {record}, file_name string")
     if paths := of(True):
         rows = spark.read.text(paths).select(F.trim("value").alias("value"), *named).where(line)
-        out = out.unionByName(rows.select(F.from_json(F.regexp_replace("value", ",$", ""), schema.PRODUCT_DDL, {"columnNameOfCorruptRecord": "_bad"}).alias("p"), "file_name"))
+        read = F.from_json(F.regexp_replace("value", ",$", ""), f"{schema.PRODUCT_DDL}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+        out = out.unionByName(rows.select(read.alias("p"), "file_name").where("p._bad IS NULL").withColumn("p", F.col("p").dropFields("_bad")))
     if paths := of(False):
-        files = spark.read.option("wholetext", True).text(paths).select("value", *named)
+        files = spark.read.text(paths, wholetext=True).select("value", *named)
         out = out.unionByName(files.where(F.col("value").rlike(r"^\s*\[")).select(F.explode(F.from_json("value", f"array<{record}>")).alias("p"), "file_name"))
     return out.where("p IS NOT NULL").select("p.*", "file_name")
 

@@ -109,7 +109,7 @@ def classify_stream(raw: DataFrame, delay: str, stores: DataFrame | None = None,
     given order passes when the watermark (``delay`` behind the latest scraped_at) has gone beyond it, so rows may come late by up to the
     delay and in any batch; every other row is a reject of the dedup, at once. Rows that come later than that are
     left out, and counted by the query's progress (``numRowsDroppedByWatermark``). State: one row while an id waits, then its time
-    only, for ``forget_ms`` (0: for ever). Set ``STATE_STORE`` before the query starts."""
+    only, for ``forget_ms`` (0: for ever). Rows without an id or a scraped_at are left out. Set ``STATE_STORE`` before the query starts."""
     some = raw.where((F.coalesce("product_id", F.lit("")) != "") & F.col("scraped_at").isNotNull())
     kept = some.withWatermark("scraped_at", delay).select(
         "product_id", "scraped_at", _place(raw, order).alias("place"), F.to_json(F.struct(*raw.columns), _EXACT).alias("row"), F.unix_millis("scraped_at").alias("at"),

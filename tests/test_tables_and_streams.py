@@ -184,7 +184,7 @@ def test_stream_verdicts(spark, tmp_path, rocks):
     make = lambda xs: schema_plus(spark.createDataFrame(xs, ddl), "seq")
     rng.shuffle(rows)
     closing = ("z", "s", "tee", Decimal(1), ["i"], "u", 1000, T0 + dt.timedelta(days=400))
-    got = run_stream(spark, str(tmp_path), [make(rows[:30]), make(rows[30:55]), make(rows[55:]), make([closing])], "10 days")
+    got = run_stream(spark, str(tmp_path), [make(rows[:30]), make(rows[30:55]), make([*rows[55:], closing])], "10 days")
     want = stages.classify_rows(make(rows), order=("scraped_at", "seq")).select("seq", "title", "price", "scraped_at", "reject_stage", "reject_reason")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert {r.reject_stage for r in got.collect()} == {None, "dedup", "scope", "validate"}
