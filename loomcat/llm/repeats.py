@@ -8,7 +8,7 @@ A word is removed if a window of ``WINDOW`` words that covers it occurs more tha
 2. Regions: the words of the windows around each recurring anchor, written once.
 3. Confirmed passages: windows of regions are counted by (anchor, digest); those that recur are confirmed.
 4. Automata: anchors are dealt to shards of bounded size by their hash, frequent ones to several. Each shard compiles its
-   confirmed windows into Aho-Corasick automata over words, and every region that can hold one of them streams through them: what an
+   confirmed passages (windows that begin one after the other) into an Aho-Corasick automaton over words, and every region that can hold one of them streams through them: what an
    automaton matches, and nothing else, is covered. A document's other words are around anchors that occur once, so no confirmed
    window is among them, and each document is covered without being sent to each shard.
 5. The covered word ranges return to their documents.
@@ -37,8 +37,8 @@ WINDOW = 35
 GRAM = 8
 BITS = 25
 SHARD_ROWS = 20_000
-#: Phrases of one automaton.
-PHRASES = 30_000
+#: Words of the phrases of one automaton; there are 1,112,000 characters.
+PHRASE_WORDS = 1_000_000
 HOT_ROWS = 5_000
 
 
@@ -145,49 +145,61 @@ def confirmed(found: DataFrame) -> DataFrame:
     return rows.groupBy("anchor", "digest").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "digest")
 
 
-def phrases_of(w: Words, digests: np.ndarray) -> np.ndarray:
-    """Where the words of each confirmed window are: its first word in one of the regions that hold it."""
+def phrases_of(w: Words, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and end of each confirmed passage: the words of confirmed windows that begin one word after the other."""
     i, digest = window_digests(w)
-    known = np.flatnonzero(np.isin(digest.view(np.int64), digests))
-    return i[known[np.unique(digest[known], return_index=True)[1]]]
+    i = i[np.isin(digest.view(np.int64), digests)]
+    if not len(i):
+        return i, i
+    breaks = np.flatnonzero(np.diff(i) != 1)
+    of = w.text_of()
+    breaks = np.union1d(breaks, np.flatnonzero(of[i[1:]] != of[i[:-1]]))
+    return i[np.r_[0, breaks + 1]], i[np.r_[breaks, len(i) - 1]] + WINDOW
 
 
 def compiled(phrases: list[str]):
-    """The automaton of the phrases."""
+    """The automaton of the phrases; a match tells the phrase's length."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
     for p in phrases:
-        automaton.add_word(p, True)
+        automaton.add_word(p, len(p))
     if phrases:
         automaton.make_automaton()
     return automaton
 
 
-def found_words(w: Words, at: np.ndarray, compile_=compiled) -> np.ndarray:
-    """Which words an occurrence of a phrase covers; at: the first word of each phrase. The automaton reads words, not letters: each word of
-    the phrases is a character of its own, every other word one character that no phrase has. ``PHRASES`` phrases at a time have
-    fewer words than there are characters."""
+def found_words(w: Words, start: np.ndarray, stop: np.ndarray, compile_=compiled) -> np.ndarray:
+    """Which words an occurrence of a phrase covers; start, stop: the words of each phrase. The automaton reads words, not letters: each word of
+    the phrases is a character of its own, every other word one character that no phrase has. Phrases of ``PHRASE_WORDS`` words at
+    a time have fewer words than there are characters. A text that repeats is read once."""
     cover = np.zeros(len(w) + 1, np.int64)
     word = _strings(w.data, w.start, w.end).dictionary_encode()
     ids, n = np.asarray(word.indices), len(word.dictionary)
-    for lo in range(0, len(at), PHRASES):
-        words = ids[at[lo : lo + PHRASES, None] + np.arange(WINDOW)]
-        used = np.unique(words)
+    upto = np.cumsum(stop - start)
+    for k in range(int(upto[-1] // PHRASE_WORDS) + 1 if len(upto) else 0):
+        part = upto // PHRASE_WORDS == k
+        marks = np.zeros(len(w) + 1, np.int64)
+        np.add.at(marks, start[part], 1)
+        np.subtract.at(marks, stop[part], 1)
+        used = np.unique(ids[np.cumsum(marks[:-1]) > 0])
         code = np.full(n, 1, np.uint32)
         code[used] = np.arange(2, len(used) + 2)
         code[code >= 0xD800] += 0x800  # no surrogates
-        as_text = lambda a: code[a].astype("<u4").tobytes().decode("utf-32-le")
-        automaton = compile_([as_text(p) for p in words])
+        text = code[ids].astype("<u4").tobytes().decode("utf-32-le")
+        automaton = compile_(list(dict.fromkeys(text[a:b] for a, b in zip(start[part].tolist(), stop[part].tolist(), strict=True))))
         if not len(automaton):
             continue
-        text = as_text(ids)
+        seen: dict[str, list[tuple[int, int]]] = {}
+        begins, ends = [], []
         for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
-            ends = [end for end, _ in automaton.iter(text[a:b])]
-            if ends:
-                starts = np.array(ends) + (a + 1 - WINDOW)
-                np.add.at(cover, starts, 1)
-                np.subtract.at(cover, starts + WINDOW, 1)
+            t = text[a:b]
+            if (hits := seen.get(t)) is None:
+                hits = seen[t] = [(end + 1 - size, end + 1) for end, size in automaton.iter(t)]
+            begins += [a + s for s, _ in hits]
+            ends += [a + e for _, e in hits]
+        np.add.at(cover, np.array(begins, np.int64), 1)
+        np.subtract.at(cover, np.array(ends, np.int64), 1)
     return np.cumsum(cover[:-1]) > 0
 
 
@@ -214,7 +226,7 @@ def locate(found: DataFrame, passages: DataFrame, id_kind: str) -> DataFrame:
         text = text.filter(pa.array(np.isin(text.column("anchor").to_numpy(), known.column("anchor").to_numpy())))
         w = Words(text.column("words"))
         first = w.first
-        inside = np.r_[False, found_words(w, phrases_of(w, known.column("digest").to_numpy())), False]
+        inside = np.r_[False, found_words(w, *phrases_of(w, known.column("digest").to_numpy())), False]
         # ranges end with their region
         edge = np.zeros(len(w) + 1, bool)
         edge[first] = True

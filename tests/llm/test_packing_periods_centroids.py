@@ -368,11 +368,12 @@ def test_repeats_need_their_automaton():
     want = np.zeros(len(w), bool)
     for s in i[np.isin(digest.view(np.int64), recurring)]:
         want[s : s + repeats.WINDOW] = True
-    at = repeats.phrases_of(w, recurring)
-    assert len(at) == len(recurring) and (repeats.found_words(w, at) == want).all() and want.any()
-    assert not repeats.found_words(w, at, lambda phrases: ahocorasick.Automaton()).any()
-    assert not repeats.found_words(w, at[:0]).any()
-    half = repeats.found_words(w, at, lambda phrases: repeats.compiled(phrases[::2]))
+    start, stop = repeats.phrases_of(w, recurring)
+    assert len(start) and (stop - start >= repeats.WINDOW).all()
+    assert (repeats.found_words(w, start, stop) == want).all() and want.any()
+    assert not repeats.found_words(w, start, stop, lambda phrases: ahocorasick.Automaton()).any()
+    assert not repeats.found_words(w, start[:0], stop[:0]).any()
+    half = repeats.found_words(w, start, stop, lambda phrases: repeats.compiled(phrases[::2]))
     assert half.any() and not half[~want].any()
 
 
@@ -383,7 +384,8 @@ def test_repeats_phrases_in_parts(monkeypatch):
     from loomcat.llm.textops import Words
 
     w = Words(pa.array([" ".join(f"p{i}" for i in range(90))] * 2 + ["x " + " ".join(f"p{i}" for i in range(50))]))
-    at = repeats.phrases_of(w, repeats.window_digests(w)[1].view(np.int64))
-    whole = repeats.found_words(w, at)
-    monkeypatch.setattr(repeats, "PHRASES", 7)
-    assert len(at) == 57 and (repeats.found_words(w, at) == whole).all() and whole.sum() == 231
+    start, stop = repeats.phrases_of(w, repeats.window_digests(w)[1].view(np.int64))
+    assert (stop - start).tolist() == [90, 90, 51]
+    whole = repeats.found_words(w, start, stop)
+    monkeypatch.setattr(repeats, "PHRASE_WORDS", 100)
+    assert (repeats.found_words(w, start, stop) == whole).all() and whole.sum() == 231
