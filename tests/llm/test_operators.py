@@ -642,7 +642,7 @@ def test_lines_columns(spark):
 
 
 def test_line_query(spark):
-    """The query on the small table against brute force: exact lines, and nine of ten edit-similar ones."""
+    """The query on the small table against brute force: all exact copies go, and nothing that edit similarity would keep."""
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
     got = {(r.doc_id, int(k)) for r in registry.queries()["op9_line_dedup"](spark, SMALL).collect() for k in r.removed_lines.split(",") if k}
     want = {(docs[n][0], k) for n, k in brute_lines(docs)}
