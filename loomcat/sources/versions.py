@@ -42,14 +42,14 @@ def bucket_of(n: int, *keys: str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
 
 
-def _there(spark: SparkSession, path: str) -> bool:
+def there(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def current(spark: SparkSession, path: str) -> Version:
     """The newest version; version 0, with nothing in it, where none was written."""
-    if not _there(spark, f"{path}/manifest"):
+    if not there(spark, f"{path}/manifest"):
         return Version()
     rows = spark.read.schema(f"{MANIFEST_DDL}, version bigint").parquet(f"{path}/manifest")
     newest = rows.agg(F.max("version")).first()[0]  # folders' names
@@ -98,8 +98,8 @@ def write_buckets(path: str, name: str, rows: DataFrame, touched: set[int], n: i
     folder = f"{path}/data/{name}-{uuid.uuid4().hex}"
     spark = rows.sparkSession
     rows.withColumn("bucket", bucket_of(n, *keys)).repartition(max(1, len(touched)), "bucket").write.partitionBy("bucket").parquet(folder)
-    there = {b for b in touched if _there(spark, f"{folder}/bucket={b}")}
-    return {(name, b): f"{folder}/bucket={b}" if b in there else None for b in touched}
+    kept = {b for b in touched if there(spark, f"{folder}/bucket={b}")}
+    return {(name, b): f"{folder}/bucket={b}" if b in kept else None for b in touched}
 
 
 def with_buckets(version: Version, changed: dict[tuple[str, int], str | None]) -> dict[tuple[str, int], str]:

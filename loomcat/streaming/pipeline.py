@@ -175,9 +175,20 @@ def upsert_state(records: DataFrame, path: str, checkpoint: str, buckets: int =
     return records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current_state(spark: SparkSession, path: str) -> DataFrame:
+def _plain_log(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a state that was written before there were manifests: folders ``batch=<n>``."""
+    return spark.read.schema(f"{io.STATE_DDL}, batch bigint").parquet(path).withColumnRenamed("batch", "entry")
+
+
+def current_state(spark: SparkSession, path: str, base: DataFrame | None = None) -> DataFrame:
     """The state as of the newest version: of each product the last hash, the first and the last sight, and its source's
-    high-water mark. It reads the buckets and at most the log entries since the last compaction; an empty state where none was written."""
-    merged = _merged(_all_rows(spark, versions.current(spark, path))).withColumnRenamed("high_water", "mark")
+    high-water mark. It reads the buckets and at most the log entries since the last compaction; an empty state where none was written.
+    A plain log of ``batch=<n>`` folders is read too. base: an older state that this one continues."""
+    version = versions.current(spark, path)
+    plain = not version.number and versions.there(spark, path) and not versions.there(spark, f"{path}/data")
+    rows = _plain_log(spark, path) if plain else _all_rows(spark, version)
+    if base is not None:
+        rows = rows.unionByName(base.withColumn("entry", F.lit(-2).cast("long")))
+    merged = _merged(rows).withColumnRenamed("high_water", "mark")
     marks = merged.groupBy("source").agg(F.max("mark").alias("high_water"))
     return merged.drop("mark").join(marks, "source", "left").select("source", "product_id", "content_hash", "first_seen", "last_seen", "high_water")
