@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column
@@ -139,19 +140,40 @@ def title_case(text: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2))))), "")
 
 
-def decode_entities(text: Column) -> Column:
-    """HTML entities decoded, in Arrow batches: Spark has no such function. Texts without ``&`` stay in the JVM."""
+#: An entity as the reference's w3lib reads it: a whole run of letters and digits is one name, the semicolon may be missing.
+ENTITY = re.compile(r"&(?:#([0-9]+)|#[xX]([0-9a-fA-F]+)|([a-zA-Z0-9]+))(;?)")
+
+
+def _entity(m: re.Match) -> str:
+    """The character of an entity; what is none is dropped if a semicolon ends it, else kept."""
+    dec, hexa, name, end = m.groups()
+    if name:
+        code = name2codepoint.get(name) or name2codepoint.get(name.lower())
+    else:
+        digits = (dec or hexa).lstrip("0")[:8]  # eight digits are beyond every character
+        code = int(digits or "0", 10 if dec else 16)
+    if code is not None and code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF:
+        if not 0x80 <= code <= 0x9F:
+            return chr(code)
+        try:
+            return bytes((code,)).decode("cp1252")  # as browsers do
+        except UnicodeDecodeError:
+            pass
+    return "" if end else m[0]
+
+
+def decode_entities(text: Column, closed: bool = False) -> Column:
+    """HTML entities decoded, in Arrow batches: Spark has no such function. Texts without ``&`` stay in the JVM. closed: only those
+    that a semicolon ends, so a text that was cut within an entity keeps what is left of it."""
 
     @F.pandas_udf("string")
     def decode(texts: pd.Series) -> pd.Series:
-        import html
-
-        return texts.map(html.unescape, na_action="ignore")
+        return texts.map(lambda t: ENTITY.sub(lambda m: m[0] if closed and not m[4] else _entity(m), t), na_action="ignore")
 
     return F.coalesce(decode(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
-def html_text(markup: Column) -> Column:
-    """C4: tags out, entities decoded, white space collapsed; null: empty."""
-    bare = decode_entities(F.regexp_replace(F.coalesce(markup, F.lit("")), r"(?s)<[^>]*>", ""))
+def html_text(markup: Column, closed: bool = False) -> Column:
+    """C4: tags out, entities decoded (closed: see ``decode_entities``), white space collapsed; null: empty."""
+    bare = decode_entities(F.regexp_replace(F.coalesce(markup, F.lit("")), r"(?s)<[^>]*>", ""), closed)
     return strip(F.regexp_replace(bare, r"\s+", " "))

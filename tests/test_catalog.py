@@ -224,3 +224,17 @@ def test_jsonld_choice(spark):
     assert names("product_or_group") == {"a": "g", "b": "deep", "e": "v"}
     assert names("product") == {"a": "p", "b": "deep"} and names("graph") == {"b": "deep"}
     assert jsonld.map_pages(df.limit(0)).count() == 0
+
+
+def test_entities_cut_short(spark):
+    """A name is read whole: &ampp is no entity, though it begins with one."""
+    from loomcat.functions.text import html_text
+
+    cases = {
+        "and&amp</title><style>p{}": "and&ampp{}", "a &amp b": "a & b", "?a=1&region=2&copy;": "?a=1&region=2©", "&AMP;&Eacute;&eacute;&#233;&#xE9;": "&Éééé", "&#128;|&#129;|&#129 ": "€||&#129",
+        "&#xD800;x&#99999999999;y&nosuch;z&nosuch": "xyz&nosuch", "&amp;amp;": "&amp;",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "html string, want string").select(html_text(F.col("html")).alias("got"), "want").collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    cut = html_text(F.lit("<h1>a&am</h1>p &amp</h1>&amp;&amp <b>&copy;</b>"), closed=True)
+    assert one(spark, cut) == "a&amp &amp&&amp ©"
