@@ -47,12 +47,12 @@ def color(value: Column) -> Column:
 def distinct_ignoring_case(values: Column) -> Column:
     """Keeps the first spelling of each value."""
     low = F.transform(values, lambda v: F.lower(v))
-    return F.filter(values, lambda v, i: F.array_position(low, F.lower(v)) == i + 1)
+    return bound(F.struct(values.alias("v"), low.alias("low")), lambda b: F.filter(b["v"], lambda v, i: F.array_position(b["low"], F.get(b["low"], i)) == i + 1))
 
 
 def colors(values: Column) -> Column:
     """Each colour normalised, empty ones dropped, first spelling kept; null: empty list."""
-    named = F.transform(F.coalesce(values, F.array().cast("array<string>")), color)
+    named = F.transform(F.array_distinct(F.coalesce(values, F.array().cast("array<string>"))), color)
     return bound(F.filter(named, lambda c: c != ""), distinct_ignoring_case)
 
 
@@ -84,14 +84,18 @@ def to_decimal(value: Column) -> Column:
         )
         return F.when(plain.rlike(r"[0-9]"), plain).try_cast("decimal(18,2)")
 
-    latin = F.translate(value.cast("string"), "٠١٢٣٤٥٦٧٨٩", "0123456789")
-    return bound(F.regexp_replace(latin, r"[^0-9.,]", ""), read)
+    def any_form(t: Column) -> Column:
+        latin = F.translate(t, "٠١٢٣٤٥٦٧٨٩", "0123456789")
+        # most prices are plain numbers, which need no reading
+        return F.when(t.rlike(r"^[0-9]+(\.[0-9]+)?\z"), t.try_cast("decimal(18,2)")).otherwise(bound(F.regexp_replace(latin, r"[^0-9.,]", ""), read))
+
+    return bound(value.cast("string"), any_form)
 
 
 def clean_list(values: Column) -> Column:
     """Trimmed, without nulls and empties, first spelling kept; null: empty list."""
     some = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: v.isNotNull())
-    return bound(F.filter(F.transform(some, strip), lambda v: v != ""), distinct_ignoring_case)
+    return bound(F.filter(F.transform(F.array_distinct(some), strip), lambda v: v != ""), distinct_ignoring_case)
 
 
 def currency(value: Column, default: str | Column = "EGP") -> Column:

@@ -9,10 +9,11 @@ from functools import lru_cache
 from html.entities import name2codepoint
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EDGE = r"[^\p{L}\p{N}_]"
+SPACE = " \t\n\x0b\f\r"
 
 
 def word_pattern(words: Iterable[str], plural: bool = True) -> str:
@@ -50,6 +51,13 @@ def haystack(*sources: Column) -> Column:
     return F.lower(F.concat_ws(" ", *(F.nullif(s, F.lit("")) for s in sources)))
 
 
+def once(df: DataFrame, *names: str) -> DataFrame:
+    """df with the columns so named computed once a row: the optimizer does not put their expressions in place of their uses, so not into
+    a function that runs for each element of a list, or a filter that it infers from an explode."""
+    made = df.withColumn("_once", F.explode(F.array(F.struct(*names))))
+    return made.select(*(F.col(f"_once.{c}").alias(c) if c in names else F.col(c) for c in df.columns))
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with value computed once, however often use names it."""
     return F.transform(F.array(value), use)[0]
@@ -126,12 +134,12 @@ def merged_lists(pairs: Column) -> Column:
         new = F.array_distinct(F.concat(F.coalesce(old, F.array().cast("array<string>")), p["v"]))
         return F.when(old.isNull(), F.map_concat(have, F.create_map(p["k"], new))).otherwise(F.transform_values(have, lambda k, v: F.when(k == p["k"], new).otherwise(v)))
 
-    return F.aggregate(pairs, start, add)
+    return F.aggregate(F.array_distinct(pairs), start, add)
 
 
 def strip(text: Column) -> Column:
     """text without white space at its ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(SPACE))
 
 
 def title_case(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcat.functions import ids, rules
 from loomcat.functions import normalize as N
-from loomcat.functions.text import bound, html_text, merged_lists, strip
+from loomcat.functions.text import bound, html_text, merged_lists, once, strip
 from loomcat.sources import schema
 
 CODE_LENGTHS = (8, 12, 13, 14)
@@ -32,16 +32,21 @@ def option(variant: Column, names: Column, wanted: tuple[str, ...]) -> Column:
 def variants_of(product: Column, names: Column, pid: Column) -> Column:
     """The variants, with sizes and colours from the named options."""
 
-    def one(v: Column, i: Column) -> Column:
-        size, color = option(v, names, rules.SIZE_OPTIONS), option(v, names, rules.COLOR_OPTIONS)
-        price, was = N.to_decimal(v["price"]), N.to_decimal(v["compare_at_price"])
-        barcode, sku = F.nullif(v["barcode"], F.lit("")), F.nullif(v["sku"], F.lit(""))
+    def read(v: Column) -> Column:
+        """What is used more than once of a variant."""
+        return F.struct(
+            v.alias("v"), option(v, names, rules.SIZE_OPTIONS).alias("size"), option(v, names, rules.COLOR_OPTIONS).alias("color"), N.to_decimal(v["price"]).alias("price"),
+            N.to_decimal(v["compare_at_price"]).alias("was"), F.nullif(v["barcode"], F.lit("")).alias("barcode"), F.nullif(v["sku"], F.lit("")).alias("sku"),
+        )
+
+    def one(r: Column, i: Column) -> Column:
+        v, size, color, price, was, barcode, sku = (r[c] for c in ("v", "size", "color", "price", "was", "barcode", "sku"))
         return schema.variant(
             variant_id=ids.variant_id(pid, i, barcode=barcode, sku=sku, platform_id=v["id"], size=size, color=color), platform_variant_id=v["id"], sku=sku, barcode=barcode, size=size,
             color=color, price=price, original_price=F.when(price.isNull() | (was > price), was), available=v["available"], inventory_quantity=v["inventory_quantity"],
         )
 
-    return F.transform(F.coalesce(product["variants"], F.array()), one)
+    return F.transform(F.transform(F.coalesce(product["variants"], F.array()), read), one)
 
 
 def color_images(product: Column, names: Column) -> Column:
@@ -99,7 +104,7 @@ def map_products(raw: DataFrame, currency: str = "EGP") -> DataFrame:
         html_text(p["body_html"]).alias("description"), strip(F.coalesce(p["vendor"], F.lit(""))).alias("vendor"), F.coalesce(p["product_type"], F.lit("")).alias("product_type"), tag_list(p["tags"]).alias("tags"),
         F.transform(F.coalesce(p["options"], F.array()), lambda o: F.lower(strip(F.coalesce(o["name"], F.lit(""))))).alias("options"),
     )
-    some = some.withColumn("product_id", ids.product_id(F.col("source"), F.col("p.id"), F.col("handle"), F.col("product_url")))
+    some = once(some.withColumn("product_id", ids.product_id(F.col("source"), F.col("p.id"), F.col("handle"), F.col("product_url"))), "product_id", "options")
     some = rollups(some.withColumn("variants", variants_of(F.col("p"), F.col("options"), F.col("product_id"))))
     tags = F.array_join("tags", " ")
     out = some.withColumns({

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomcat import catalog_queries as C
 from loomcat.catalog_queries import PARTS_SQL, arrivals, parts, sql_parts, sql_rules, table
 from loomcat.functions import rules, scope
+from loomcat.functions.text import once
 from loomcat.operators import changes, jsonld, offers, report, storefront
 from loomcat.plans import stages
 from loomcat.sources import io, schema, versions
@@ -261,7 +262,7 @@ VARIANTS_SQL = f"{C.LINES_SQL}, v AS (SELECT *, row_number() OVER (PARTITION BY
 
 @query(f"WITH {VARIANTS_SQL} SELECT CAST(l_partkey * 1000 + i AS VARCHAR) AS platform_variant_id, l_returnflag AS color, 'M' AS size, lp AS price, CAST(lp + 10 AS DECIMAL(18,2)) AS original_price, CAST(l_suppkey AS VARCHAR) AS sku, l_returnflag = 'N' AS available, sha256(sha256('shop:pid:' || l_partkey) || ':sku:' || l_suppkey) AS variant_id FROM v JOIN part ON p_partkey = l_partkey")
 def c13_variants(spark, d):
-    out = storefront.map_products(io.read_raw_shopify(C.storefront_payloads(spark, d))).select(F.explode("variants").alias("v"))
+    out = once(storefront.map_products(io.read_raw_shopify(C.storefront_payloads(spark, d))).select("variants"), "variants").select(F.explode("variants").alias("v"))
     return out.select("v.platform_variant_id", "v.color", "v.size", "v.price", "v.original_price", "v.sku", "v.available", "v.variant_id")
 
 
