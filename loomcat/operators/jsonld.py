@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcat.functions import ids
 from loomcat.functions import normalize as N
-from loomcat.functions.text import bound, decode_entities, html_text, merged_lists, strip
+from loomcat.functions.text import bound, decode_entities, html_text, merged_lists, once, strip
 from loomcat.sources import schema
 
 #: A script element with its attributes and its content; the type is looked for among the attributes.
@@ -25,6 +25,11 @@ def get(node: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(node, path, kind)
 
 
+def is_object(value: Column) -> Column:
+    """Whether a variant is an object: a struct of none of its fields can be had of it. Its schema would be that of all it holds."""
+    return get(value, "$", "struct<`:`:variant>").isNotNull()
+
+
 def nodes_of(value: Column) -> Column:
     """The elements of a list, or the single object as a list of one; null: empty."""
     many, one = get(value, "$", "array<variant>"), value
@@ -52,16 +57,15 @@ def nodes_in(value: Column, levels: Column) -> Column:
     The list of entries is rewritten until none is open: an open list gives way to its elements, an open object with a @graph to the
     members and then itself. That takes a step for each level; levels is an upper bound of those, and the steps over are idle."""
     none = F.lit(None).cast(NODES)
+    empty = F.array().cast(NODES)
     entry = lambda node, graph, open_: F.struct(node.alias("node"), graph.alias("graph"), open_.alias("open"))
-    is_list = lambda v: F.schema_of_variant(v).startswith("ARRAY")
 
     def expanded(e: Column) -> Column:
-        graph = get(e["node"], '$["@graph"]', "variant")
-        members = F.when(is_list(e["node"]), e["node"]).when(is_list(graph), graph)
-        below = F.transform(get(members, "$", "array<variant>"), lambda v: entry(v, e["graph"] | ~is_list(e["node"]), F.lit(True)))
-        own = F.when(F.schema_of_variant(e["node"]).startswith("OBJECT"), F.array(entry(e["node"], e["graph"], F.lit(False))))
-        empty = F.array().cast(NODES)
-        return F.when(e["open"], F.concat(F.coalesce(below, empty), F.coalesce(own, empty))).otherwise(F.array(e))
+        opened = lambda many, graph: F.transform(many, lambda v: entry(v, graph, F.lit(True)))
+        below = opened(get(e["node"], '$["@graph"]', "array<variant>"), F.lit(True))
+        own = F.array(entry(e["node"], e["graph"], F.lit(False)))
+        listed = F.coalesce(opened(get(e["node"], "$", "array<variant>"), e["graph"]), empty)
+        return F.when(~e["open"], F.array(e)).when(is_object(e["node"]), F.concat(F.coalesce(below, empty), own)).otherwise(listed)
 
     def step(state: Column, _: Column) -> Column:
         more = F.exists(state["list"], lambda e: e["open"])
@@ -196,10 +200,10 @@ def _mapped(found: DataFrame, grouped: Column, currency: str, normalize_keys: bo
     group_id = F.coalesce(F.nullif(get(node, "$.productGroupID"), F.lit("")), get(node, "$.productID"))
     suggested = F.lower(get(node, "$.audience.suggestedGender"))
     fallback = F.when(suggested.isin("male", "men"), "men").when(suggested.isin("female", "women"), "women").when(suggested == "unisex", "unisex").otherwise("")
-    some = _common(found.withColumn("_grouped", grouped)).withColumns({
+    some = _common(once(found.withColumn("_grouped", grouped), "_grouped")).withColumns({
         "product_id": ids.product_id(F.col("source"), either(group_id, own_id), None, F.col("url")),
         "gender": F.when(~group & (F.col("gender") == ""), fallback).otherwise(F.col("gender")),
-        "parts": F.when(group, F.filter(F.coalesce(get(node, "$.hasVariant", "array<variant>"), none), lambda v: F.schema_of_variant(v).startswith("OBJECT"))).otherwise(none),
+        "parts": F.when(group, F.filter(F.coalesce(get(node, "$.hasVariant", "array<variant>"), none), is_object)).otherwise(none),
     })
     read = F.transform(
         "parts",

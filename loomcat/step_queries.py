@@ -240,7 +240,7 @@ DEEP_SQL = "SELECT 'http://p/' || p_partkey AS url, name FROM part, (VALUES ('in
 def c2_nodes_of_nested_graphs(spark, d):
     """A wrapper whose graph holds a wrapper, and a list in a list."""
     text = '{"name": "wrapper", "@graph": [{"@graph": [{"name": "in a graph of a graph"}]}, [[{"name": "in a nested list"}]]]}'
-    pages = table(spark, d, "part").select(F.lit("s").alias("source"), F.concat(F.lit("http://p/"), F.col("p_partkey").cast("string")).alias("url"), C.page(F.lit(text)).alias("html"))
+    pages = C.spread(table(spark, d, "part")).select(F.lit("s").alias("source"), F.concat(F.lit("http://p/"), F.col("p_partkey").cast("string")).alias("url"), C.page(F.lit(text)).alias("html"))
     return jsonld.nodes(jsonld.blocks(pages)).select("url", jsonld.get(F.col("node"), "$.name").alias("name")).where("name IS NOT NULL")
 
 
@@ -250,7 +250,7 @@ def c3_find_at_any_depth(spark, d):
     k = F.col("p_partkey")
     deep = F.expr("""concat(array_join(transform(sequence(1, cast(p_partkey % 12 + 1 AS int)), i -> if(i % 2 = 0, '[{"@graph": [', '{"@graph": [')), ''), '{"@type": ["Thing", "PRODUCT"], "sku": ', p_partkey, '}',
       array_join(transform(sequence(cast(p_partkey % 12 + 1 AS int), 1), i -> if(i % 2 = 0, ']}]', ']}')), ''))""")
-    pages = table(spark, d, "part").select(F.lit("s").alias("source"), F.concat(F.lit("http://p/"), k.cast("string")).alias("url"), C.page(deep).alias("html"))
+    pages = C.spread(table(spark, d, "part")).select(F.lit("s").alias("source"), F.concat(F.lit("http://p/"), k.cast("string")).alias("url"), C.page(deep).alias("html"))
     count = jsonld.nodes(jsonld.blocks(pages)).groupBy("url").agg((F.count("*") - 1).alias("n_nodes"))
     return jsonld.find(pages).select("url", jsonld.get(F.col("node"), "$.sku").alias("sku")).join(count, "url")
 
