@@ -308,7 +308,7 @@ def f3_classify_record(spark, d):
 
 def product_rows(spark, d) -> DataFrame:
     k = F.col("p_partkey")
-    raw = parts(spark, d).select(
+    raw = C.spread(parts(spark, d)).select(
         k.cast("string").alias("product_id"), F.concat(F.lit("Store#"), (k % 4).cast("string")).alias("source"), F.concat(F.lit("  "), "title", F.lit(" ")).alias("title"), F.when(k % 5 != 0, F.col("price")).alias("price"),
         F.when(k % 2 == 0, F.col("price")).otherwise(F.col("price") + 5).alias("original_price"), F.when(k % 3 == 0, "usd").when(k % 3 == 1, "??").alias("currency"), F.col("p_brand").alias("brand"),
         F.when(k % 7 != 0, F.array(F.lit(" http://i/1 "), F.lit(""), F.concat(F.lit("http://i/"), k.cast("string")), F.lit("HTTP://I/1"))).alias("image_urls"), F.array(F.lit("navy"), F.lit("GREY")).alias("colors"),
@@ -390,7 +390,9 @@ def e1_map_errors(spark, d):
 def i6_apply_scope(spark, d):
     """All rows are stored, then those in scope: a source that is wholly out of scope keeps none of its rows."""
     at = new_path(spark, "scope")
-    rows = schema.ordered(staged(spark, d))
+    judged = new_path(spark, "judged")
+    schema.ordered(staged(spark, d)).write.parquet(judged)  # judged once for all that reads it
+    rows = spark.read.parquet(judged)
     io.write_catalog(rows, at)
     out = F.struct(F.lit(False).alias("is_supported"), F.lit(None).cast("string").alias("scope_type"), F.lit("out_of_scope").alias("rejection_reason"))
     report.apply_scope(rows.withColumn("scope", F.when(F.col("source") == "Store#1", out).otherwise(F.col("scope"))), at)
