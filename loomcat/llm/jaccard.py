@@ -6,8 +6,8 @@ link when ``den * |x & y| >= num * |x | y|``; documents of linked sets form comp
 1. ``sets``: prefix filter. Tokens are ordered by (hot, hash); hot tokens are those of many
    sets, counted over all documents in a fixed-size table. Any fixed order is right; this one keeps
    common lines, and what large groups of copies share, out of the index.
-2. Similar sets: sets that share a min-hash compare with one leader (the most copied set). Overlaps are
-   computed once, stored as answers, and give the first components.
+2. Similar sets: sets that share a min-hash compare with one leader (the most copied set), unless parity bitmaps show that
+   they can't link. Overlaps are computed once, stored as answers, and give the first components.
 3. Index lists: the entries of one token are grouped into blocks by component, with the range of
    set sizes and the smallest position. A pair of blocks is skipped when no sizes and positions in it could
    reach the threshold, and a block never meets itself.
@@ -245,6 +245,21 @@ def overlaps(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, text_co
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long, gone binary, extra binary")
 
 
+def within_parity(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose parity bitmaps allow that they link, with their sizes: no set is needed to rule out the others."""
+    for c in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"parity_{c}")), c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = [parity_apart(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
+            size = np.asarray(batch.column(2)) + np.asarray(batch.column(3))
+            keep = (num + den) * np.array(d, np.int64) <= (den - num) * size
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep))
+
+    return pairs.select("a", "b", "na", "nb", "parity_a", "parity_b").mapInArrow(run, "a long, b long, na long, nb long")
+
+
 def in_sorted(among: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the values are among the sorted ones."""
     if not len(among):
@@ -278,7 +293,9 @@ def clusters(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
     keyed = sets.select("id", "n", "copies", F.posexplode("keys").alias("j", "key")).withColumn("size", F.floor(grade + F.when(F.col("j") % 2 == 1, 0.5).otherwise(0.0)))
     leaders = keyed.groupBy("j", "key", "size").agg(F.min(F.struct((-F.col("copies")).alias("c"), "id", "n")).alias("l"), F.count("*").alias("many")).where("many > 1").select("j", "key", "size", F.col("l.id").alias("lead"), F.col("l.n").alias("n_lead"))
     star = keyed.join(leaders, ["j", "key", "size"]).where((F.col("id") != F.col("lead")) & compatible(F.col("n"), F.col("n_lead")))
-    star = written(star.select(F.col("id").alias("a"), F.col("lead").alias("b"), F.col("n").alias("na"), F.col("n_lead").alias("nb")).distinct(), "star")
+    star = star.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
+    # sets meet by chance in the min-hash of a frequent shingle, the more the larger the corpus: those are never read in full
+    star = written(within_parity(star, sets, num, den), "star")
     linked = F.lit(den) * F.col("both") >= F.lit(num) * (F.col("na") + F.col("nb") - F.col("both"))
     # only links are kept: their differences are a small part of the sets
     answers = written(overlaps(docs, sets, star, k, text_col).join(star, ["a", "b"]).where(linked), "answers")
@@ -301,18 +318,7 @@ def clusters(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
     pairs = single.unionByName(expanded).distinct()
 
     # the parity bound, then answers derived from those of a leader in common
-    info = sets.select("id", "n", "parity")
-    for i in (1, 2):
-        pairs = pairs.join(info.select(F.col("id").alias(f"id{i}"), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")), f"id{i}")
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d = [parity_apart(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
-            size = np.asarray(batch.column(2)) + np.asarray(batch.column(3))
-            keep = sides * np.array(d, np.int64) <= (den - num) * size
-            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep))
-
-    pairs = pairs.select("id1", "id2", "n1", "n2", "parity1", "parity2").mapInArrow(bounded, "id1 long, id2 long, n1 long, n2 long")
+    pairs = within_parity(pairs.toDF("a", "b"), sets, num, den).toDF("id1", "id2", "n1", "n2")
     pairs = written(pairs, "pairs")
     known = answers.select(F.col("a").alias("id"), F.col("b").alias("lead"), F.col("nb").alias("n_lead"), "gone", "extra")
     known = known.unionByName(known.select(F.col("lead").alias("id"), "lead", "n_lead", F.lit(b"").alias("gone"), F.lit(b"").alias("extra")).distinct())

@@ -229,6 +229,24 @@ def test_jaccard_edges(spark, edge, k, num, den):
     assert jaccard.similar(edge.limit(0), k, num, den).count() == 0
 
 
+def test_jaccard_reads_no_chance_pairs(spark, monkeypatch):
+    """Sets that share min-hashes (a passage in common) but can't link are ruled out without being read in full."""
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+    items = [(n, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(60)])) for n in range(40)]
+    items.append((100, items[7][1] + " more"))
+    docs = spark.createDataFrame(items, "doc_id long, text string")
+    asked, overlaps = [], jaccard.overlaps
+
+    def counted(docs, sets, pairs, *rest):
+        asked.extend(tuple(sorted((r.a, r.b))) for r in pairs.select("a", "b").collect())
+        return overlaps(docs, sets, pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "overlaps", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.similar(docs).collect()}
+    assert got == {n: 7 if n == 100 else n for n, _ in items} and len(set(asked)) == 1
+
+
 def test_jaccard_ids(spark):
     """Ids that are missing, repeated or texts: sets are told apart by what they hold."""
     base = [f"t{n}" for n in range(150)]
