@@ -46,7 +46,9 @@ REPEATS = 4
 LEAST_MOVE = 4
 SHORT = 32
 BLOCK_BYTES = 16 << 20
-TABLE_BITS = 22
+#: A table of buckets has so many times the keys in it, and 2 ** 12 to 2 ** 22 buckets: what it takes, in each task, follows the block.
+TABLE_ROOM = 32
+TABLE_BITS = range(12, 23)
 #: Which steps each repetition samples; the first word of a walk is always one.
 SAMPLED = tuple(np.sort(np.r_[0, np.random.default_rng(500 + r).choice(np.arange(2, STEPS), SAMPLES - 1, replace=False)]) for r in range(REPEATS))
 
@@ -81,6 +83,11 @@ def gram_keys(h: np.ndarray, m: int) -> np.ndarray:
     return key
 
 
+def bucket(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The bucket of each key, by its high bits; a table has 2 ** bits buckets."""
+    return (keys >> U64(65 - len(table).bit_length())).astype(np.int64)
+
+
 def walk_keys(h: np.ndarray, repeat: int, tables: list[np.ndarray] | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """The walks from every position of h: (positions, their keys after each sampled step, where they end). With tables,
     a position is given up as soon as its key's bucket is empty. h ends with STEPS words that are never begun at."""
@@ -96,7 +103,8 @@ def walk_keys(h: np.ndarray, repeat: int, tables: list[np.ndarray] | None = None
             if len(keys) == SAMPLES:
                 break
             if tables is not None:
-                ok = tables[len(keys) - 1][(key >> U64(64 - TABLE_BITS)).astype(np.int64)]
+                table = tables[len(keys) - 1]
+                ok = table[bucket(key, table)]
                 at, cur, key = at[ok], cur[ok], key[ok]
                 keys[-1] = key
         cur = cur + ((h[cur] >> U64(STEPS * repeat + j)) & U64(1)).astype(np.int64)
@@ -113,8 +121,10 @@ class Items:
         self.lists = [x.tolist() for x in self.words]
         pad = mix(np.arange(1, STEPS + 1, dtype=U64) * U64(0xABCDEF123))
         self.tables, self.keys, self.owner, self.offset = [], [], [], []
+        room = TABLE_ROOM * sum(len(x) for x in self.words if len(x) >= SHORT)
+        bits = min(max(room.bit_length(), TABLE_BITS[0]), TABLE_BITS[-1])
         for r in range(REPEATS):
-            found = [np.zeros(1 << TABLE_BITS, bool) for _ in range(SAMPLES - 1)]
+            found = [np.zeros(1 << bits, bool) for _ in range(SAMPLES - 1)]
             last, owner, offset = [], [], []
             for i, x in enumerate(self.words):
                 if len(x) < SHORT:
@@ -124,7 +134,7 @@ class Items:
                 # and one that hardly moved says too little
                 inside = (at <= len(x) - STEPS) & (end - at >= LEAST_MOVE)
                 for t, k in zip(found, keys, strict=False):
-                    t[(k[inside] >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
+                    t[bucket(k[inside], t)] = True
                 last.append(keys[-1][inside])
                 owner.append(np.full(inside.sum(), i))
                 offset.append(at[inside])

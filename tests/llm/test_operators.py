@@ -386,6 +386,20 @@ def test_first_word_changed():
     assert [x[:3] for x in decontaminate.leaks_in(h, first, decontaminate.Items([1], [" ".join(item)]))] == [(0, 0, 1)]
 
 
+def test_decontamination_tables_follow_the_block(monkeypatch):
+    """What a task holds beside the items grows with them; tables of any size give the same leaks."""
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 60)) for _ in range(40)]
+    items = decontaminate.Items(list(range(40)), texts)
+    assert sum(t.nbytes for found in items.tables for t in found) < 8 << 20
+    h, first = decontaminate.symbols(pa.array([f"{a} x {b}" for a, b in zip(texts, texts[1:], strict=False)] + ["nothing of it " * 30]))
+    want = decontaminate.leaks_in(h, first, items)
+    assert {x[:3] for x in want} >= {(n, n + j, 0) for n in range(39) for j in range(2)}
+    for bits in (1, 22):
+        monkeypatch.setattr(decontaminate, "TABLE_BITS", range(bits, bits + 1))
+        assert decontaminate.leaks_in(h, first, decontaminate.Items(list(range(40)), texts)) == want
+
+
 # ---- 7 ---------------------------------------------------------------------------------------------
 
 
