@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import fresh, new_path, written
-from .textops import U64, bytes_hash, give_back, text_bytes
+from .textops import U64, bytes_hash, freed, give_back, text_bytes
 
 BLOCK_BYTES = 24 << 20
 LEVEL = 9
@@ -215,10 +215,8 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
                     number, rows, sizes, seq, held = {}, [], [], [], 0
         if rows:
             yield from close()
-        number, rows, sizes, seq = {}, [], [], []
-        give_back()
 
-    return docs.mapInArrow(run, BLOCK_DDL)
+    return docs.mapInArrow(freed(run), BLOCK_DDL)
 
 
 def _row(block: int, bucket: int, packed: bytes) -> pa.RecordBatch:
@@ -247,10 +245,8 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
                     found.append(ids)
                 sizes = np.array([len(x) // 4 for x in found], "<u4")
                 yield _row(block, bucket, _pack(number, sizes, *_planes(np.frombuffer(b"".join(found), "<u4"))))
-        ids_of.clear()
-        give_back()
 
-    return words.mapInArrow(run, BLOCK_DDL)
+    return words.mapInArrow(freed(run), BLOCK_DDL)
 
 
 def encode_rows(docs: DataFrame, out_ddl: str, finish, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -266,7 +262,7 @@ def encode_rows(docs: DataFrame, out_ddl: str, finish, path: str | None = None,
     blocks = spark.read.schema(BLOCK_DDL).parquet(at)
     ids = encode_words(blocks.where(F.col("bucket") != SEQUENCE).repartition(tasks, "bucket"), path)
 
-    def put_together(key: tuple, sequences: pa.Table, words: pa.Table) -> pa.Table:
+    def of_block(sequences: pa.Table, words: pa.Table) -> list[pa.RecordBatch]:
         parts, upto = [], 0
         numbers, starts, lengths = [], [], []
         for packed in words.column("packed"):
@@ -294,7 +290,12 @@ def encode_rows(docs: DataFrame, out_ddl: str, finish, path: str | None = None,
             np.cumsum(n, out=total[1:])
             out.append(finish(rows[lo:hi], gather(flat, start[s], n), total[edges[lo : hi + 1] - edges[lo]]))
             lo = hi
-        give_back()
+        return out
+
+    def put_together(key: tuple, sequences: pa.Table, words: pa.Table) -> pa.Table:
+        give_back()  # what the block before was returned in
+        out = of_block(sequences, words)
+        give_back()  # what this one was made of
         return pa.Table.from_batches(out)
 
     sequences = spark.read.schema(BLOCK_DDL).parquet(at).where(F.col("bucket") == SEQUENCE)

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .shared import written
-from .textops import PUNCT, U64, Words, mix, pieces
+from .textops import PUNCT, U64, Words, freed, mix, pieces
 
 STEPS = 16
 SAMPLES = 5
@@ -245,7 +245,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                         ["id", "item", "distance", "end_word"],
                     )
 
-        parts.append(_one_block(narrow.mapInArrow(run, kind), shared, blocks))
+        parts.append(_one_block(narrow.mapInArrow(freed(run), kind), shared, blocks))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -276,7 +276,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                     clean[[f[0] for f in leaks_in(h, first, items)]] = False
                     yield piece.filter(pa.array(clean))
 
-        docs = _one_block(docs.mapInArrow(run, docs.schema), shared, blocks)
+        docs = _one_block(docs.mapInArrow(freed(run), docs.schema), shared, blocks)
     return docs
 
 

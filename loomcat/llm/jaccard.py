@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .graph import bitmap, components, in_bitmap
 from .shared import fresh, written
-from .textops import U64, Ranges, Words, give_back, mix, pieces
+from .textops import U64, Ranges, Words, freed, mix, pieces
 
 HOT = 64
 SKETCH_BITS = 23
@@ -134,11 +134,10 @@ def set_rows(docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray | None
                      _lists([_prefix(s, hot, num, den) for s in sets]), _lists(list(np.stack(key, 1))), pa.array(parity, pa.binary())],
                     ["id", "n", "k1", "k2", "h", "prefix", "keys", "parity"],
                 )
-        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    return narrow.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, h long, prefix array<long>, keys array<long>, parity binary")
+    return narrow.mapInArrow(freed(run), f"id {kind}, n long, k1 long, k2 long, h long, prefix array<long>, keys array<long>, parity binary")
 
 
 def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
@@ -161,7 +160,6 @@ def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
                 planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)  # high bytes are mostly zero
                 yield pa.RecordBatch.from_arrays([pa.array([j], pa.int64()), pa.array([zstandard.ZstdCompressor(3).compress(planes.tobytes())], pa.binary())], ["segment", "counts"])
         counts = None
-        give_back()
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
@@ -172,7 +170,7 @@ def hot_tokens(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
         hot = np.packbits(total >= HOT + 3 * total.mean(), bitorder="little")
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([hot.tobytes()], pa.binary())], ["segment", "hot"])
 
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "segment long, counts binary")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(freed(count), "segment long, counts binary")
     out = np.zeros((1 << SKETCH_BITS) // 64, U64)
     for row in counted.groupBy("segment").applyInArrow(merge, "segment long, hot binary").toLocalIterator():  # 256 rows at most
         words = np.frombuffer(bytes(row["hot"]), U64)
@@ -195,7 +193,7 @@ def shared_entries(sets: DataFrame, shared: np.ndarray) -> DataFrame:
             take = pa.array(of[keep])
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(3)), pa.array(pos[keep].astype(np.int32)), pa.array(flat[keep])], ["id", "n", "root", "pos", "token"])
 
-    return sets.select("id", F.col("n").cast("int").alias("n"), "root", "prefix").mapInArrow(run, "id long, n int, root long, pos int, token long")
+    return sets.select("id", F.col("n").cast("int").alias("n"), "root", "prefix").mapInArrow(freed(run), "id long, n int, root long, pos int, token long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int, text_col: str) -> DataFrame:
@@ -219,7 +217,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int, text_col: str) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["k1", "k2", "tokens"])
 
     narrow = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    return narrow.mapInArrow(run, "k1 long, k2 long, tokens binary").join(wanted.select("id", "k1", "k2"), ["k1", "k2"]).select("id", "tokens").dropDuplicates(["id"])
+    return narrow.mapInArrow(freed(run), "k1 long, k2 long, tokens binary").join(wanted.select("id", "k1", "k2"), ["k1", "k2"]).select("id", "tokens").dropDuplicates(["id"])
 
 
 def overlaps(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, text_col: str) -> DataFrame:
@@ -242,7 +240,7 @@ def overlaps(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, text_co
 
     left = full.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = full.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long, gone binary, extra binary")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(freed(run), "a long, b long, both long, gone binary, extra binary")
 
 
 def within_parity(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -257,7 +255,7 @@ def within_parity(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> Data
             keep = (num + den) * np.array(d, np.int64) <= (den - num) * size
             yield batch.select([0, 1, 2, 3]).filter(pa.array(keep))
 
-    return pairs.select("a", "b", "na", "nb", "parity_a", "parity_b").mapInArrow(run, "a long, b long, na long, nb long")
+    return pairs.select("a", "b", "na", "nb", "parity_a", "parity_b").mapInArrow(freed(run), "a long, b long, na long, nb long")
 
 
 def in_sorted(among: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -333,7 +331,7 @@ def clusters(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(both, pa.int64())], ["a", "b", "na", "nb", "both"])
 
     answered = common.join(k1, ["id1", "lead"]).join(k2, ["id2", "lead"]).select("id1", "id2", "n1", "n2", "n_lead", "gone1", "gone2", "extra1", "extra2")
-    answered = answered.mapInArrow(derive, "a long, b long, na long, nb long, both long").where(linked).select("a", "b")
+    answered = answered.mapInArrow(freed(derive), "a long, b long, na long, nb long, both long").where(linked).select("a", "b")
     open_ = pairs.join(common.select("id1", "id2"), ["id1", "id2"], "left_anti").select(F.col("id1").alias("a"), F.col("id2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb"))
     compared = overlaps(docs, sets, open_, k, text_col).join(open_, ["a", "b"]).where(linked).select("a", "b")
     links = answered.unionByName(compared).unionByName(first.select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textops import LEAD, U64, Ranges, Words, covered, mix, pieces, repeated, sums
+from .textops import LEAD, U64, Ranges, Words, covered, freed, mix, pieces, repeated, sums
 
 WINDOW = 8
 SYMBOLS = np.zeros(256, bool)
@@ -111,7 +111,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = narrow.mapInArrow(run, f"id {kind}, " + ", ".join(f"{c} long" for c in MEASURES))
+    out = narrow.mapInArrow(freed(run), f"id {kind}, " + ", ".join(f"{c} long" for c in MEASURES))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -161,7 +161,7 @@ def ledger_of_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([doc, *(pa.array(m[c].astype(np.int64)) for c in MEASURES)], ["doc", *MEASURES])
 
     schema = T.StructType([T.StructField("doc", docs.schema), *(T.StructField(c, T.LongType()) for c in MEASURES)])
-    return docs.mapInArrow(run, schema).withColumn("fail_bits", failure_bits())
+    return docs.mapInArrow(freed(run), schema).withColumn("fail_bits", failure_bits())
 
 
 def keep_good(docs: DataFrame, policy: Policy = STANDARD, text_col: str = "text") -> DataFrame:

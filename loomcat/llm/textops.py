@@ -173,6 +173,18 @@ def give_back() -> None:
         trim(0)
 
 
+def freed(run):
+    """run, a function of a task's batches, with memory given back before it (what the worker kept of an earlier stage) and
+    after it, when nothing refers to its last batch any more."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def covered(n: int, starts: np.ndarray, k: int) -> np.ndarray:
     """Which of n words lie in a k-word window that begins at one of starts."""
     step = np.zeros(n + 1, np.int32)

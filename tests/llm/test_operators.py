@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -386,6 +387,20 @@ def test_first_word_changed():
     assert [x[:3] for x in decontaminate.leaks_in(h, first, decontaminate.Items([1], [" ".join(item)]))] == [(0, 0, 1)]
 
 
+def test_memory_given_back(monkeypatch):
+    """Before a task's first batch, and after its last one when nothing holds it."""
+    alive, seen = [], []
+    monkeypatch.setattr(textops, "give_back", lambda: seen.append(len(alive) and alive[-1]() is not None))
+
+    def run(batches):
+        for batch in batches:
+            alive.append(weakref.ref(batch))
+            yield len(batch)
+
+    assert list(textops.freed(run)(np.arange(n) for n in (3, 4))) == [3, 4]
+    assert seen == [0, False]
+
+
 def test_decontamination_tables_follow_the_block(monkeypatch):
     """What a task holds beside the items grows with them; tables of any size give the same leaks."""
     rng = np.random.default_rng(12)
